@@ -50,3 +50,26 @@ FROM ratings GROUP BY {_ym('ts')}, productId"""
 
 SQL["average_products"] = with_(RATINGS) + """
 SELECT productId, round(avg(score), 6) AS avg FROM ratings GROUP BY productId"""
+
+COOC = """pc AS (SELECT productId, count(*) AS cnt FROM ratings GROUP BY productId),
+rc AS (SELECT r.userId, r.productId, pc.cnt FROM ratings r JOIN pc USING (productId)),
+co AS (
+  SELECT a.productId AS product1, b.productId AS product2, count(*) AS cocount,
+         max(a.cnt) AS count1, max(b.cnt) AS count2
+  FROM rc a JOIN rc b ON a.userId = b.userId
+  GROUP BY a.productId, b.productId)"""
+
+SQL["item_cooccurrence"] = with_(RATINGS, COOC) + """
+SELECT product1, product2, cocount, count1, count2 FROM co"""
+
+ITEMCF = """itemcf AS (
+  SELECT productId, CAST(rank AS INTEGER) AS rank, recProductId, score FROM (
+    SELECT product1 AS productId, product2 AS recProductId,
+           cocount / sqrt(count1 * count2) AS score,
+           row_number() OVER (PARTITION BY product1
+                              ORDER BY cocount / sqrt(count1 * count2) DESC, product2) AS rank
+    FROM co WHERE product1 <> product2) WHERE rank <= 10)"""
+
+SQL["itemcf_recs"] = with_(RATINGS, COOC, ITEMCF) + """
+SELECT p.productId, i.rank, i.recProductId, round(i.score, 6) AS score
+FROM (SELECT DISTINCT productId FROM ratings) p LEFT JOIN itemcf i USING (productId)"""

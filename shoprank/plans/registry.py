@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoprank.operators import stats
+from shoprank.operators import cooccurrence, stats
 from shoprank.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,13 @@ def q_rate_more_recently(spark, sf):
 @query("average_products")
 def q_average_products(spark, sf):
     return stats.average_products(td.ratings(spark, sf)).select("productId", r6("avg").alias("avg"))
+
+
+@query("item_cooccurrence")
+def q_item_cooccurrence(spark, sf):
+    return cooccurrence.cooccurrence(td.ratings(spark, sf))
+
+
+@query("itemcf_recs")
+def q_itemcf_recs(spark, sf):
+    return cooccurrence.itemcf_flat(td.ratings(spark, sf)).withColumn("score", r6("score"))
