@@ -73,3 +73,53 @@ ITEMCF = """itemcf AS (
 SQL["itemcf_recs"] = with_(RATINGS, COOC, ITEMCF) + """
 SELECT p.productId, i.rank, i.recProductId, round(i.score, 6) AS score
 FROM (SELECT DISTINCT productId FROM ratings) p LEFT JOIN itemcf i USING (productId)"""
+
+TOKENS = r"""toks0 AS (
+  SELECT productId, lower(replace(tags, '|', ' ')) AS low FROM products),
+toks1 AS (
+  SELECT productId,
+         CASE WHEN low = '' THEN ['']
+              WHEN regexp_replace(low, '\s+$', '') = '' THEN []::VARCHAR[]
+              ELSE string_split_regex(regexp_replace(low, '\s+$', ''), '\s') END AS l
+  FROM toks0),
+tokens AS (
+  SELECT productId, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS term FROM toks1)"""
+
+TFIDF = """tf AS (SELECT productId, term, count(*) AS tf FROM tokens GROUP BY productId, term),
+dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+tfidf AS (
+  SELECT productId, term, tf, df,
+         tf * ln((CAST((SELECT count(*) FROM products) AS DOUBLE) + 1) / (CAST(df AS DOUBLE) + 1)) AS weight
+  FROM tf JOIN dfreq USING (term))"""
+
+CONTENT = """w AS (SELECT productId, term, weight FROM tfidf WHERE weight <> 0),
+nrm AS (SELECT productId, sqrt(sum(weight * weight)) AS n FROM w GROUP BY productId),
+dots AS (
+  SELECT a.productId AS p1, b.productId AS p2, sum(a.weight * b.weight) AS d
+  FROM w a JOIN w b ON a.term = b.term AND a.productId <> b.productId GROUP BY 1, 2),
+content_sims AS (
+  SELECT p1 AS productId, p2 AS recProductId, d / (n1.n * n2.n) AS score
+  FROM dots JOIN nrm n1 ON n1.productId = p1 JOIN nrm n2 ON n2.productId = p2
+  WHERE d / (n1.n * n2.n) > 0.4)"""
+
+SQL["tag_tokens"] = with_(PRODUCTS, TOKENS) + "SELECT productId, pos, term FROM tokens"
+
+SQL["tf_idf_weights"] = with_(PRODUCTS, TOKENS, TFIDF) + """
+SELECT productId, term, tf, df, round(weight, 6) AS weight FROM tfidf"""
+
+SQL["content_similarity"] = with_(PRODUCTS, TOKENS, TFIDF, CONTENT) + """
+SELECT productId,
+       CAST(row_number() OVER (PARTITION BY productId ORDER BY round(score, 6) DESC, recProductId) AS INTEGER) AS rank,
+       recProductId, round(score, 6) AS score
+FROM content_sims"""
+
+SQL["vector_similarity"] = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+s AS (
+  SELECT a.vec_id AS vecId, b.vec_id AS recVecId,
+         list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id)
+SELECT vecId,
+       CAST(row_number() OVER (PARTITION BY vecId ORDER BY round(score, 6) DESC, recVecId) AS INTEGER) AS rank,
+       recVecId, round(score, 6) AS score
+FROM s WHERE score > 0.4"""

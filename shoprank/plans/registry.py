@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoprank.operators import cooccurrence, stats
+from shoprank.operators import content, cooccurrence, similarity, stats, topk
 from shoprank.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,37 @@ def q_item_cooccurrence(spark, sf):
 @query("itemcf_recs")
 def q_itemcf_recs(spark, sf):
     return cooccurrence.itemcf_flat(td.ratings(spark, sf)).withColumn("score", r6("score"))
+
+
+def ranked_pairs(pairs: DataFrame, key: str = "productId", item: str = "recProductId") -> DataFrame:
+    """Flat similarity list with rank (score rounded first, ties on ascending item)."""
+    rounded = pairs.withColumn("score", r6("score"))
+    return topk.rank_within(rounded, key, [F.desc("score"), F.asc(item)]).select(key, "rank", item, "score")
+
+
+@query("tag_tokens")
+def q_tag_tokens(spark, sf):
+    return content.tag_tokens(td.products(spark, sf))
+
+
+@query("tf_idf_weights")
+def q_tf_idf_weights(spark, sf):
+    return content.tf_idf(td.products(spark, sf)).withColumn("weight", r6("weight"))
+
+
+@query("content_similarity")
+def q_content_similarity(spark, sf):
+    return ranked_pairs(content.content_similarity(td.products(spark, sf), "exact"))
+
+
+@query("content_similarity_hashed")
+def q_content_similarity_hashed(spark, sf):
+    return ranked_pairs(content.content_similarity(td.products(spark, sf), "hashing"))
+
+
+@query("vector_similarity")
+def q_vector_similarity(spark, sf):
+    vecs = td.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    pairs = similarity.dense_cosine(vecs, id_col="vec_id", vec_col="embedding")
+    return ranked_pairs(pairs.select(F.col("id1").alias("vecId"), F.col("id2").alias("recVecId"), "score"),
+                        "vecId", "recVecId")
