@@ -123,3 +123,173 @@ SELECT vecId,
        CAST(row_number() OVER (PARTITION BY vecId ORDER BY round(score, 6) DESC, recVecId) AS INTEGER) AS rank,
        recVecId, round(score, 6) AS score
 FROM s WHERE score > 0.4"""
+
+
+def _hash(col: str) -> str:
+    """32-bit JVM string hash (code points of the BMP = UTF-16 units), sign-folded."""
+    h = (f"list_reduce(list_transform(range(1, length({col}) + 1), "
+         f"lambda i: CAST(unicode(substr({col}, i, 1)) AS BIGINT)), "
+         f"lambda h, c: (h * 31 + c) % 4294967296, CAST(0 AS BIGINT))")
+    return f"CAST(CASE WHEN {h} >= 2147483648 THEN {h} - 4294967296 ELSE {h} END AS INTEGER)"
+
+
+def _hydrate(src: str, key: str | None = None, item: str = "productId") -> str:
+    """src has (key?, item, rank); duplicates keep the first rank."""
+    k = f"{key}, " if key else ""
+    ks = f"f.{key}, " if key else ""
+    return f"""firsts AS (SELECT {k}{item} AS productId, min(rank) AS rank FROM {src} GROUP BY {k}{item})
+SELECT {ks}CAST(f.rank AS INTEGER) AS rank, p.productId, p.name, p.imageUrl, p.categories, p.tags,
+       round(coalesce(a.avg, 0.0), 6) AS score
+FROM firsts f JOIN products p USING (productId) LEFT JOIN averages a USING (productId)"""
+
+
+SQL["hot_products"] = with_(RATINGS, PRODUCTS, AVERAGES) + f""", recent AS (
+  SELECT productId, count(*) AS count, {_ym('ts')} AS yearmonth FROM ratings GROUP BY {_ym('ts')}, productId),
+top AS (SELECT productId, row_number() OVER (ORDER BY yearmonth DESC, count DESC, productId) AS rank
+        FROM recent QUALIFY rank <= 20),
+""" + _hydrate("top")
+
+SQL["most_rated_products"] = with_(RATINGS, PRODUCTS, AVERAGES) + """, counts AS (
+  SELECT productId, count(*) AS count FROM ratings GROUP BY productId),
+top AS (SELECT productId, row_number() OVER (ORDER BY count DESC, productId) AS rank
+        FROM counts QUALIFY rank <= 20),
+""" + _hydrate("top")
+
+SQL["product_info"] = with_(RATINGS, PRODUCTS, AVERAGES, EVENTS) + """
+SELECT p.productId, p.name, p.imageUrl, p.categories, p.tags, round(coalesce(a.avg, 0.0), 6) AS score
+FROM products p LEFT JOIN averages a USING (productId)
+WHERE p.productId IN (SELECT productId FROM rating_events)"""
+
+SQL["product_search"] = with_(RATINGS, PRODUCTS, AVERAGES) + """
+SELECT p.productId, p.name, p.imageUrl, p.categories, p.tags, round(coalesce(a.avg, 0.0), 6) AS score
+FROM products p LEFT JOIN averages a USING (productId)
+WHERE regexp_matches(p.name, 'red|green')"""
+
+SQL["itemcf_lookup"] = with_(RATINGS, PRODUCTS, AVERAGES, EVENTS, COOC, ITEMCF) + """,
+req AS (SELECT productId AS requestKey, rank, recProductId FROM itemcf
+        WHERE recProductId IS NOT NULL AND productId IN (SELECT productId FROM rating_events)),
+""" + _hydrate("req", "requestKey", "recProductId")
+
+SQL["content_lookup"] = with_(RATINGS, PRODUCTS, AVERAGES, EVENTS, TOKENS, TFIDF, CONTENT) + """,
+ranked AS (SELECT productId AS requestKey, recProductId,
+                  row_number() OVER (PARTITION BY productId ORDER BY round(score, 6) DESC, recProductId) AS rank
+           FROM content_sims WHERE productId IN (SELECT productId FROM rating_events)),
+""" + _hydrate("ranked", "requestKey", "recProductId")
+
+SQL["recs_roundtrip"] = with_(RATINGS, COOC, ITEMCF) + """
+SELECT productId, rank, recProductId, round(score, 6) AS score, round(score, 6) AS mapScore
+FROM itemcf"""
+
+SQL["resolve_users"] = f"""
+WITH users AS (SELECT username, {_hash('username')} AS userId FROM (SELECT DISTINCT c_name AS username FROM customer))
+SELECT username, min(userId) AS userId FROM users
+WHERE username IN (SELECT c_name FROM customer WHERE c_custkey IN (SELECT user_id FROM events))
+GROUP BY username"""
+
+SQL["register_users"] = f"""
+WITH buyers AS (SELECT DISTINCT c_name AS username FROM customer
+                WHERE c_custkey IN (SELECT user_id FROM events)),
+fresh AS (SELECT DISTINCT c_name AS username FROM customer
+          WHERE c_name NOT IN (SELECT username FROM buyers))
+SELECT {_hash('username')} AS userId, username, '' AS password, true AS first,
+       CAST(1700000000000 AS BIGINT) AS timestamp
+FROM fresh"""
+
+SQL["update_user_preferences"] = f"""
+WITH users AS (SELECT username, {_hash('username')} AS userId FROM (SELECT DISTINCT c_name AS username FROM customer)),
+ch AS (SELECT {_hash('c.c_name')} AS userId,
+              array_to_string(list_sort(list_distinct(list(e.event_type))), ',') AS prefs
+       FROM events e JOIN customer c ON c.c_custkey = e.user_id GROUP BY c.c_name)
+SELECT u.userId, u.username, ch.userId IS NULL AS first, coalesce(ch.prefs, '') AS prefs
+FROM users u LEFT JOIN ch USING (userId)"""
+
+SQL["ingest_ratings"] = with_(RATINGS, EVENTS) + """,
+latest AS (SELECT userId, productId, arg_max(score, event_id) AS score, arg_max(ts, event_id) AS ts
+           FROM rating_events GROUP BY userId, productId),
+kept AS (SELECT r.userId, r.productId, coalesce(l.score, r.score) AS score, r.ts AS timestamp
+         FROM ratings r LEFT JOIN latest l USING (userId, productId)),
+ins AS (SELECT l.userId, l.productId, l.score, l.ts AS timestamp FROM latest l
+        WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.userId = l.userId AND r.productId = l.productId))
+SELECT * FROM kept UNION ALL SELECT * FROM ins"""
+
+ONLINE = """sims AS (SELECT productId, recProductId, round(score, 6) AS score FROM content_sims),
+hist AS (SELECT userId, productId, score,
+                row_number() OVER (PARTITION BY userId ORDER BY ts DESC, productId DESC, score DESC) AS pos
+         FROM ratings QUALIFY pos <= 40),
+q AS (SELECT userId, productId, score, 0 AS fresh, pos AS k FROM hist
+      WHERE userId IN (SELECT userId FROM rating_events)
+      UNION ALL SELECT userId, productId, score, 1 AS fresh, event_id AS k FROM rating_events),
+recent AS (SELECT userId,
+                  CAST(row_number() OVER (PARTITION BY userId
+                       ORDER BY fresh DESC, CASE WHEN fresh = 1 THEN -k ELSE k END) AS INTEGER) AS pos,
+                  productId, score
+           FROM q QUALIFY pos <= 21),
+last AS (SELECT userId, productId FROM rating_events
+         QUALIFY row_number() OVER (PARTITION BY userId ORDER BY ts DESC, event_id DESC) = 1),
+rated AS (SELECT userId, productId FROM ratings UNION SELECT userId, productId FROM rating_events),
+cands AS (SELECT l.userId, s.recProductId AS candidate, s.score AS sim
+          FROM last l JOIN sims s ON s.productId = l.productId
+          WHERE NOT EXISTS (SELECT 1 FROM rated r WHERE r.userId = l.userId AND r.productId = s.recProductId)),
+topc AS (SELECT userId, CAST(row_number() OVER (PARTITION BY userId ORDER BY sim DESC, candidate) AS INTEGER) AS rank,
+                candidate, sim
+         FROM cands QUALIFY rank <= 20),
+pairs AS (SELECT c.userId, c.candidate, r.score AS rscore, s.score AS s
+          FROM topc c JOIN recent r ON r.userId = c.userId
+          JOIN sims s ON s.productId = c.candidate AND s.recProductId = r.productId
+          WHERE s.score > 0.4),
+scored AS (SELECT userId, candidate, round(sum(s * rscore), 6) / count(*) AS base,
+                  count(*) FILTER (WHERE rscore > 3) AS incr, count(*) FILTER (WHERE rscore <= 3) AS decr
+           FROM pairs GROUP BY userId, candidate)"""
+
+_ONLINE_HEAD = with_(RATINGS, PRODUCTS, EVENTS, TOKENS, TFIDF, CONTENT, ONLINE)
+
+SQL["recent_ratings"] = _ONLINE_HEAD + "SELECT userId, pos, productId, score FROM recent"
+
+SQL["stream_candidates"] = _ONLINE_HEAD + "SELECT userId, rank, candidate AS productId, sim FROM topc"
+
+SQL["stream_scores"] = _ONLINE_HEAD + """
+SELECT userId, candidate AS productId,
+       base + (log10(greatest(incr, 1)) - log10(greatest(incr, 1))) AS priority, incr, decr FROM scored"""
+
+
+def _stream_recs(bonus: str) -> str:
+    return _ONLINE_HEAD + f""",
+pri AS (SELECT userId, candidate, base + {bonus} AS score FROM scored),
+ranked AS (SELECT userId, CAST(row_number() OVER (PARTITION BY userId ORDER BY score DESC, candidate) AS INTEGER) AS rank,
+                  candidate AS productId, score FROM pri)
+SELECT l.userId, r.rank, r.productId, r.score FROM last l LEFT JOIN ranked r USING (userId)"""
+
+
+SQL["stream_recs"] = _stream_recs("(log10(greatest(incr, 1)) - log10(greatest(incr, 1)))")
+SQL["stream_recs_intended"] = _stream_recs("(log10(greatest(incr, 1)) - log10(greatest(decr, 1)))")
+
+LOG_LINES = """lines AS (
+  SELECT CASE WHEN event_type = 'purchase'
+              THEN 'INFO PRODUCT_RATING_PREFIX:' || CAST(user_id AS INTEGER) || '|'
+                   || CAST(json_extract_string(props, '$.k') AS INTEGER) || '|'
+                   || CAST(CAST(CAST(floor(value) AS BIGINT) % 5 + 1 AS DOUBLE) AS VARCHAR) || '|'
+                   || CAST(floor(epoch(ts)) AS BIGINT)
+              ELSE 'INFO ' || event_type || ' user=' || CAST(user_id AS INTEGER) END AS value
+  FROM events),
+payloads AS (
+  SELECT 'logProcessor' AS key, trim(split_part(value, 'PRODUCT_RATING_PREFIX:', 2)) AS value
+  FROM lines WHERE contains(value, 'PRODUCT_RATING_PREFIX:')
+    AND trim(split_part(value, 'PRODUCT_RATING_PREFIX:', 2)) <> '')"""
+
+SQL["log_filter"] = with_(LOG_LINES) + "SELECT key, value FROM payloads"
+
+SQL["parse_rating_events"] = with_(LOG_LINES) + """
+SELECT CAST(split_part(value, '|', 1) AS INTEGER) AS userId, CAST(split_part(value, '|', 2) AS INTEGER) AS productId,
+       CAST(split_part(value, '|', 3) AS DOUBLE) AS score, CAST(split_part(value, '|', 4) AS BIGINT) AS timestamp
+FROM payloads"""
+
+SQL["rating_log_lines"] = with_(RATINGS) + """
+SELECT 'PRODUCT_RATING_PREFIX:' || userId || '|' || productId || '|' || CAST(score AS VARCHAR) || '|' || ts AS value
+FROM ratings"""
+
+SQL["prediction_rmse"] = with_(RATINGS) + """,
+train AS (SELECT * FROM ratings WHERE ts < 946684800),
+test AS (SELECT * FROM ratings WHERE ts >= 946684800),
+pred AS (SELECT productId, avg(score) AS prediction FROM train GROUP BY productId)
+SELECT round(sqrt(avg((t.score - p.prediction) * (t.score - p.prediction))), 6) AS rmse, count(*) AS n
+FROM test t JOIN pred p USING (productId)"""

@@ -12,8 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoprank.operators import content, cooccurrence, similarity, stats, topk
+from shoprank import schemas
+from shoprank.functions.columns import rating_log_line, recs_to_map, username_hash
+from shoprank.operators import (als, content, cooccurrence, maintenance, online, serving, similarity,
+                                stats, topk)
 from shoprank.sources import testdata as td
+from shoprank.streaming import logfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,3 +91,228 @@ def q_vector_similarity(spark, sf):
     pairs = similarity.dense_cosine(vecs, id_col="vec_id", vec_col="embedding")
     return ranked_pairs(pairs.select(F.col("id1").alias("vecId"), F.col("id2").alias("recVecId"), "score"),
                         "vecId", "recVecId")
+
+
+# ------------------------------------------------------------------ serving reads
+
+def _averages(ratings: DataFrame) -> DataFrame:
+    return stats.average_products(ratings, ordered=False)
+
+
+def _hydrated(df: DataFrame) -> DataFrame:
+    return df.withColumn("score", r6("score"))
+
+
+@query("hot_products")
+def q_hot_products(spark, sf):
+    r = td.ratings(spark, sf)
+    return _hydrated(serving.hot_products(stats.rate_more_recently(r, ordered=False),
+                                          td.products(spark, sf), _averages(r), 20))
+
+
+@query("most_rated_products")
+def q_most_rated_products(spark, sf):
+    r = td.ratings(spark, sf)
+    return _hydrated(serving.most_rated(stats.rate_more_products(r, ordered=False),
+                                        td.products(spark, sf), _averages(r), 20))
+
+
+@query("product_info")
+def q_product_info(spark, sf):
+    r = td.ratings(spark, sf)
+    ids = td.rating_events(spark, sf).select("productId")
+    return _hydrated(serving.product_info(ids, td.products(spark, sf), _averages(r)))
+
+
+@query("product_search")
+def q_product_search(spark, sf):
+    r = td.ratings(spark, sf)
+    return _hydrated(serving.search_products(td.products(spark, sf), _averages(r), "red|green"))
+
+
+def _requests(spark, sf) -> DataFrame:
+    """Products just bought (purchase events) are the lookup requests."""
+    return td.rating_events(spark, sf).select(F.col("productId").alias("requestKey"))
+
+
+@query("itemcf_lookup")
+def q_itemcf_lookup(spark, sf):
+    r = td.ratings(spark, sf)
+    recs = cooccurrence.item_cf(r).withColumnRenamed("productId", "requestKey")
+    return _hydrated(serving.lookup_recs(_requests(spark, sf), recs, td.products(spark, sf), _averages(r),
+                                         "requestKey"))
+
+
+@query("content_lookup")
+def q_content_lookup(spark, sf):
+    r = td.ratings(spark, sf)
+    flat = ranked_pairs(content.content_similarity(td.products(spark, sf))).withColumnRenamed(
+        "productId", "requestKey")
+    return _hydrated(serving.lookup_flat(_requests(spark, sf), flat, td.products(spark, sf), _averages(r),
+                                         "requestKey", "recProductId"))
+
+
+@query("recs_roundtrip")
+def q_recs_roundtrip(spark, sf):
+    nested = cooccurrence.item_cf(td.ratings(spark, sf))
+    as_map = nested.select("productId", "recs", recs_to_map("recs").alias("m"))
+    flat = as_map.select("productId", "m", F.posexplode("recs").alias("pos", "rec"))
+    return flat.select("productId", (F.col("pos") + 1).alias("rank"),
+                       F.col("rec.productId").alias("recProductId"), r6("rec.score").alias("score"),
+                       r6(F.element_at("m", F.col("rec.productId"))).alias("mapScore"))
+
+
+# ------------------------------------------------------------------ users and ratings
+
+def _users(spark, sf, customers: DataFrame | None = None) -> DataFrame:
+    cust = customers if customers is not None else td.customers(spark, sf)
+    incoming = cust.select("username", F.lit("").alias("password"), F.col("custkey").alias("seq"))
+    empty = spark.createDataFrame([], schemas.USER_SCHEMA)
+    return maintenance.register_users(empty, incoming, now_ms=REGISTERED_AT_MS)
+
+
+REGISTERED_AT_MS = 1_700_000_000_000
+
+
+@query("resolve_users")
+def q_resolve_users(spark, sf):
+    cust = td.customers(spark, sf)
+    active = td.table(spark, sf, "events").select(F.col("user_id").cast("int").alias("custkey"))
+    requests = cust.join(active, "custkey", "left_semi").select("username")
+    return serving.resolve_users(requests, _users(spark, sf))
+
+
+@query("register_users")
+def q_register_users(spark, sf):
+    cust = td.customers(spark, sf)
+    web = td.table(spark, sf, "events").select(F.col("user_id").cast("int").alias("custkey"))
+    existing = _users(spark, sf, cust.join(web, "custkey", "left_semi"))
+    incoming = cust.select("username", F.lit("").alias("password"), F.col("custkey").alias("seq"))
+    return maintenance.register_users(existing, incoming, now_ms=REGISTERED_AT_MS).drop("prefGenres")
+
+
+@query("update_user_preferences")
+def q_update_user_preferences(spark, sf):
+    cust = td.customers(spark, sf)
+    ev = td.table(spark, sf, "events").select(F.col("user_id").cast("int").alias("custkey"), "event_type")
+    changes = (ev.join(cust, "custkey").groupBy("username")
+               .agg(F.sort_array(F.collect_set("event_type")).alias("prefGenres"))
+               .select(username_hash("username").alias("userId"), F.lit(False).alias("first"), "prefGenres"))
+    out = maintenance.update_preferences(_users(spark, sf, cust), changes)
+    return out.select("userId", "username", "first", F.array_join("prefGenres", ",").alias("prefs"))
+
+
+def _events(spark, sf) -> DataFrame:
+    return td.rating_events(spark, sf).withColumnRenamed("event_id", "seq")
+
+
+@query("ingest_ratings")
+def q_ingest_ratings(spark, sf):
+    return maintenance.ingest_ratings(td.ratings(spark, sf), _events(spark, sf))
+
+
+# ------------------------------------------------------------------ online re-ranking
+
+def _online_inputs(spark, sf):
+    r = td.ratings(spark, sf)
+    # the similarity table as stored: content pairs with scores at 6 decimals
+    sims = content.content_similarity(td.products(spark, sf)).withColumn("score", r6("score"))
+    queue = maintenance.recent_from_ratings(r)
+    return _events(spark, sf), queue, r, sims
+
+
+@query("recent_ratings")
+def q_recent_ratings(spark, sf):
+    events, queue, _, _ = _online_inputs(spark, sf)
+    return online.recent_ratings(queue, events)
+
+
+@query("stream_candidates")
+def q_stream_candidates(spark, sf):
+    events, _, rated, sims = _online_inputs(spark, sf)
+    last = online.last_event_per_user(events)
+    rated_all = rated.select("userId", "productId").unionByName(events.select("userId", "productId"))
+    return online.candidates(last, sims, rated_all).select(
+        "userId", "rank", F.col("candidate").alias("productId"), "sim")
+
+
+@query("stream_scores")
+def q_stream_scores(spark, sf):
+    events, queue, rated, sims = _online_inputs(spark, sf)
+    last = online.last_event_per_user(events)
+    rated_all = rated.select("userId", "productId").unionByName(events.select("userId", "productId"))
+    cands = online.candidates(last, sims, rated_all)
+    scored = online.score_candidates(cands, online.recent_ratings(queue, events), sims)
+    # the sum of 6-decimal products is rounded back to 6 decimals (float noise only), so
+    # both engines divide the same doubles; the priority itself is not re-rounded
+    return scored.select("userId", F.col("candidate").alias("productId"),
+                         online.priority(r6("wsum"), "n", "incr", "decr").alias("priority"),
+                         "incr", "decr")
+
+
+def _stream_recs(spark, sf, penalty):
+    events, queue, rated, sims = _online_inputs(spark, sf)
+    flat = online.recommend_batch_flat(events, queue, rated, sims, penalty=penalty)
+    rounded = flat.withColumn("score", online.priority(r6("wsum"), "n", "incr", "decr", penalty))
+    scored = topk.rank_within(rounded.where(F.col("productId").isNotNull()).drop("rank"), "userId",
+                              [F.desc("score"), F.asc("productId")])
+    empty = rounded.where(F.col("productId").isNull()).select("userId", "rank", "productId", "score")
+    return scored.select("userId", "rank", "productId", "score").unionByName(empty)
+
+
+@query("stream_recs")
+def q_stream_recs(spark, sf):
+    return _stream_recs(spark, sf, "as_written")
+
+
+@query("stream_recs_intended")
+def q_stream_recs_intended(spark, sf):
+    return _stream_recs(spark, sf, "intended")
+
+
+# ------------------------------------------------------------------ log lines
+
+@query("log_filter")
+def q_log_filter(spark, sf):
+    return logfilter.filter_rating_log(td.log_lines(spark, sf))
+
+
+@query("parse_rating_events")
+def q_parse_rating_events(spark, sf):
+    return logfilter.parse_rating_events(logfilter.filter_rating_log(td.log_lines(spark, sf)))
+
+
+@query("rating_log_lines")
+def q_rating_log_lines(spark, sf):
+    r = td.ratings(spark, sf)
+    return r.select(rating_log_line("userId", "productId", "score", "timestamp").alias("value"))
+
+
+# ------------------------------------------------------------------ ALS (no SQL oracle)
+
+@query("prediction_rmse")
+def q_prediction_rmse(spark, sf):
+    """Hold-out RMSE of a fixed predictor (train-set product mean); the split is by
+    time (orders before 2000 train, the rest test), so SQL can check it."""
+    r = td.ratings(spark, sf)
+    train, test = r.where(F.col("timestamp") < 946684800), r.where(F.col("timestamp") >= 946684800)
+    pred = stats.average_products(train, ordered=False).withColumnRenamed("avg", "prediction")
+    out = als.rmse(test.join(pred, "productId"))
+    return out.select(r6("rmse").alias("rmse"), "n")
+
+
+@query("als_user_recs")
+def q_als_user_recs(spark, sf):
+    model = als.fit_als(td.ratings(spark, sf))
+    return topk.explode_recs(als.user_recommendations(model), "userId")
+
+
+@query("als_product_recs")
+def q_als_product_recs(spark, sf):
+    model = als.fit_als(td.ratings(spark, sf))
+    return ranked_pairs(als.product_recommendations(model))
+
+
+@query("als_grid")
+def q_als_grid(spark, sf):
+    return als.tune_als(td.ratings(spark, sf))
