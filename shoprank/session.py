@@ -57,19 +57,26 @@ def get_session(
     return apply_sql_conf(spark)
 
 
+_LOCAL_CHECKPOINTS: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster the operator names it in ``spark.checkpoint.dir``; we only read it.
-    When it is unset (local runs, tests) a fresh temporary folder is created and set.
+    On a cluster the operator names it in ``spark.checkpoint.dir`` (a static setting);
+    we only read it. When it is unset on a local master (tests, local runs) a fresh
+    temporary folder is used instead; on a cluster that is an error, since a
+    machine-local folder is not visible to every executor.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="shoprank-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        key = id(sc)
+        if key not in _LOCAL_CHECKPOINTS:
+            _LOCAL_CHECKPOINTS[key] = tempfile.mkdtemp(prefix="shoprank-ckpt-")
+        path = _LOCAL_CHECKPOINTS[key]
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
