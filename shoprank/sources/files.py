@@ -20,7 +20,7 @@ from shoprank.functions.columns import jvm_trim, normalise_seconds
 
 
 def _cast(col, type_: str, mode: str):
-    return col.cast(type_) if mode == "strict" else F.try_cast(col, type_)
+    return col.cast(type_) if mode == "strict" else col.try_cast(type_)
 
 
 def parse_products(lines: DataFrame, mode: str = "strict", value_col: str = "value") -> DataFrame:
@@ -46,7 +46,7 @@ def rejected_products(spark: SparkSession, path: str) -> DataFrame:
     """Lines that ``mode='permissive'`` drops: bad id or fewer than 7 fields."""
     lines = spark.read.text(path)
     f = F.split(F.col("value"), r"\^")
-    bad = F.try_cast(jvm_trim(F.get(f, 0)), "int").isNull() | F.get(f, 6).isNull()
+    bad = jvm_trim(F.get(f, 0)).try_cast("int").isNull() | F.get(f, 6).isNull()
     return lines.where(bad)
 
 

@@ -34,7 +34,7 @@ def rejected_log_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 def _fields(value_col: str, mode: str):
     parts = F.split(F.col(value_col), r"\|")
-    cast = (lambda c, t: c.cast(t)) if mode == "strict" else (lambda c, t: F.try_cast(c, t))
+    cast = (lambda c, t: c.cast(t)) if mode == "strict" else (lambda c, t: c.try_cast(t))
     return [cast(F.trim(F.get(parts, 0)), "int").alias("userId"),
             cast(F.trim(F.get(parts, 1)), "int").alias("productId"),
             cast(F.trim(F.get(parts, 2)), "double").alias("score"),
