@@ -304,7 +304,7 @@ def q_prediction_rmse(spark, sf):
 @query("als_user_recs")
 def q_als_user_recs(spark, sf):
     model = als.fit_als(td.ratings(spark, sf))
-    return topk.explode_recs(als.user_recommendations(model), "userId")
+    return als.predict_top_n(model).select("userId", "rank", "productId", "score")
 
 
 @query("als_product_recs")
