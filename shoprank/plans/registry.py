@@ -138,9 +138,9 @@ def _requests(spark, sf) -> DataFrame:
 @query("itemcf_lookup")
 def q_itemcf_lookup(spark, sf):
     r = td.ratings(spark, sf)
-    recs = cooccurrence.item_cf(r).withColumnRenamed("productId", "requestKey")
-    return _hydrated(serving.lookup_recs(_requests(spark, sf), recs, td.products(spark, sf), _averages(r),
-                                         "requestKey"))
+    flat = cooccurrence.itemcf_flat(r).withColumnRenamed("productId", "requestKey")
+    return _hydrated(serving.lookup_flat(_requests(spark, sf), flat, td.products(spark, sf), _averages(r),
+                                         "requestKey", "recProductId"))
 
 
 @query("content_lookup")
