@@ -293,3 +293,13 @@ test AS (SELECT * FROM ratings WHERE ts >= 946684800),
 pred AS (SELECT productId, avg(score) AS prediction FROM train GROUP BY productId)
 SELECT round(sqrt(avg((t.score - p.prediction) * (t.score - p.prediction))), 6) AS rmse, count(*) AS n
 FROM test t JOIN pred p USING (productId)"""
+
+SQL["distinct_entities"] = with_(RATINGS) + """
+SELECT 'user' AS kind, userId AS id FROM (SELECT DISTINCT userId FROM ratings)
+UNION ALL
+SELECT 'product' AS kind, productId AS id FROM (SELECT DISTINCT productId FROM ratings)"""
+
+SQL["normalised_ui_ratings"] = """
+SELECT CAST(user_id AS INTEGER) AS userId, CAST(json_extract_string(props, '$.k') AS INTEGER) AS productId,
+       round(CAST(CAST(floor(value) AS BIGINT) % 10 + 1 AS DOUBLE) / 2, 2) AS score
+FROM events WHERE event_type = 'purchase'"""

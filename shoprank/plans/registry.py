@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoprank import schemas
-from shoprank.functions.columns import rating_log_line, recs_to_map, username_hash
+from shoprank.functions.columns import normalise_score, rating_log_line, recs_to_map, username_hash
 from shoprank.operators import (als, content, cooccurrence, maintenance, online, serving, similarity,
                                 stats, topk)
 from shoprank.sources import testdata as td
@@ -319,3 +319,20 @@ def q_als_product_recs(spark, sf):
 @query("als_grid")
 def q_als_grid(spark, sf):
     return als.tune_als(td.ratings(spark, sf))
+
+
+@query("distinct_entities")
+def q_distinct_entities(spark, sf):
+    users, products = stats.distinct_entities(td.ratings(spark, sf))
+    return (users.select(F.lit("user").alias("kind"), F.col("userId").alias("id"))
+            .unionByName(products.select(F.lit("product").alias("kind"), F.col("productId").alias("id"))))
+
+
+@query("normalised_ui_ratings")
+def q_normalised_ui_ratings(spark, sf):
+    """Purchases rated on the 1..10 UI scale (floor(value) % 10 + 1), halved to 0.5..5."""
+    ev = td.table(spark, sf, "events").where(F.col("event_type") == "purchase")
+    ui = ((F.floor("value").cast("bigint") % 10) + 1).cast("double")
+    return ev.select(F.col("user_id").cast("int").alias("userId"),
+                     F.get_json_object("props", "$.k").cast("int").alias("productId"),
+                     normalise_score(ui).alias("score"))

@@ -91,3 +91,25 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
     twice = sorted(map(str, stream.current_stream_recs(spark, base).collect()))
     assert once == twice
     assert spark.read.parquet(os.path.join(base, "RatingEvents")).count() == 2
+
+
+def test_recent_queue_state_across_batches(spark, tmp_dir):
+    from shoprank.streaming.logfilter import parse_rating_events
+    from shoprank.streaming.state import recent_queue_stream
+    src = os.path.join(tmp_dir, "q")
+    write_lines(src, "1.txt", [f"1|{p}|4.0|{p}" for p in range(30)] + ["2|7|1.0|5"])
+    events = parse_rating_events(stream.read_text_stream(spark, src))
+    out = os.path.join(tmp_dir, "qout")
+
+    def run():
+        q = (recent_queue_stream(events).writeStream.outputMode("update")
+             .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{out}/b={bid}"))
+             .option("checkpointLocation", os.path.join(tmp_dir, "qck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run()
+    write_lines(src, "2.txt", [f"1|{p}|5.0|{p}" for p in range(100, 115)])
+    run()
+    last = spark.read.parquet(out).where("b = 1").orderBy("pos").collect()
+    assert [r.productId for r in last] == list(range(114, 99, -1)) + list(range(29, 4, -1))
+    assert len(last) == 40 and all(r.userId == 1 for r in last)
