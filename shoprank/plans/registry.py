@@ -77,12 +77,12 @@ def q_tf_idf_weights(spark, sf):
 
 @query("content_similarity")
 def q_content_similarity(spark, sf):
-    return ranked_pairs(content.content_similarity(td.products(spark, sf), "exact"))
+    return content.ranked_similarity(content.tf_idf(td.products(spark, sf)))
 
 
 @query("content_similarity_hashed")
 def q_content_similarity_hashed(spark, sf):
-    return ranked_pairs(content.content_similarity(td.products(spark, sf), "hashing"))
+    return content.ranked_similarity(content.hashed_tf_idf(td.products(spark, sf)))
 
 
 @query("vector_similarity")
@@ -146,7 +146,7 @@ def q_itemcf_lookup(spark, sf):
 @query("content_lookup")
 def q_content_lookup(spark, sf):
     r = td.ratings(spark, sf)
-    flat = ranked_pairs(content.content_similarity(td.products(spark, sf))).withColumnRenamed(
+    flat = content.ranked_similarity(content.tf_idf(td.products(spark, sf))).withColumnRenamed(
         "productId", "requestKey")
     return _hydrated(serving.lookup_flat(_requests(spark, sf), flat, td.products(spark, sf), _averages(r),
                                          "requestKey", "recProductId"))
