@@ -43,6 +43,7 @@ def get_session(
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.driver.memory": "16g",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus) * 2),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
