@@ -16,6 +16,7 @@ from shoprank import schemas
 from shoprank.functions.columns import normalise_score, rating_log_line, recs_to_map, username_hash
 from shoprank.operators import (als, content, cooccurrence, maintenance, online, serving, similarity,
                                 stats, topk)
+from shoprank.session import materialise
 from shoprank.sources import testdata as td
 from shoprank.streaming import logfilter
 
@@ -214,9 +215,12 @@ def q_ingest_ratings(spark, sf):
 # ------------------------------------------------------------------ online re-ranking
 
 def _online_inputs(spark, sf):
-    r = td.ratings(spark, sf)
+    # as in production, ratings and the similarity table are stored tables that the
+    # per-batch plan reads several times: materialise them once
+    r = materialise(td.ratings(spark, sf), "ratings")
     # the similarity table as stored: content pairs with scores at 6 decimals
-    sims = content.content_similarity(td.products(spark, sf)).withColumn("score", r6("score"))
+    sims = materialise(content.content_similarity(td.products(spark, sf)).withColumn("score", r6("score")),
+                       "similarity")
     queue = maintenance.recent_from_ratings(r)
     return _events(spark, sf), queue, r, sims
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +82,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def materialise(df, name: str = "tmp"):
+    """Write an intermediate that several branches read as a Parquet table under the
+    shared checkpoint folder and return a DataFrame over it.
+
+    Each branch then reads the table instead of replaying the lineage (Catalyst pushes
+    different filters into each branch, so exchanges are not reused), and a lost
+    executor re-reads files instead of recomputing upstream stages. Parquet is used
+    rather than ``DataFrame.checkpoint`` because it is columnar and compressed."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
