@@ -43,14 +43,37 @@ def recent_ratings(queue: DataFrame, events: DataFrame, n: int = S.RECENT_RATING
     return push_recent(touched, events).where(F.col("pos") <= n)
 
 
+# Partners of a product are read in bands of this many ranks.
+RANK_BAND = 32
+
+
+def rank_partners(sims: DataFrame) -> DataFrame:
+    """(productId, recProductId, score, rank) with rank by score desc, partner id asc
+    (the order of a stored recs list)."""
+    return rank_within(sims.select("productId", "recProductId", "score"), "productId",
+                       [F.desc("score"), F.asc("recProductId")])
+
+
 def candidates(last_events: DataFrame, sims: DataFrame, rated: DataFrame,
                n: int = S.MAX_SIM_PRODUCTS_NUM) -> DataFrame:
-    """(userId, rank, candidate, sim): the n most similar unrated products per event."""
-    row = (last_events.select("userId", "productId")
-           .join(sims.select("productId", F.col("recProductId").alias("candidate"), F.col("score").alias("sim")),
-                 "productId"))
-    unrated = row.join(rated.select("userId", F.col("productId").alias("candidate")).distinct(),
-                       ["userId", "candidate"], "left_anti")
+    """(userId, rank, candidate, sim): the n most similar unrated products per event.
+
+    Exact without reading every partner of a popular product once per event: a user
+    who rated r products finds its n best unrated partners within the product's first
+    n + r ranked partners, so each event joins only the rank bands it needs,
+    ``(productId, band)``. ``sims`` may carry ``rank`` (stored list order); otherwise it
+    is computed."""
+    ranked = sims if "rank" in sims.columns else rank_partners(sims)
+    banded = ranked.select("productId", F.col("recProductId").alias("candidate"), F.col("score").alias("sim"),
+                           F.floor((F.col("rank") - 1) / RANK_BAND).cast("int").alias("band"))
+    rated_pairs = rated.select("userId", F.col("productId").alias("candidate")).distinct()
+    per_user = rated_pairs.groupBy("userId").agg(F.count(F.lit(1)).alias("r"))
+    need = (last_events.select("userId", "productId").join(per_user, "userId", "left")
+            .select("userId", "productId",
+                    F.explode(F.sequence(F.lit(0), F.floor((F.coalesce("r", F.lit(0)) + n - 1) / RANK_BAND)
+                                         .cast("int"))).alias("band")))
+    row = need.join(banded, ["productId", "band"])
+    unrated = row.join(rated_pairs, ["userId", "candidate"], "left_anti")
     return rank_within(unrated, "userId", [F.desc("sim"), F.asc("candidate")], n).select(
         "userId", "rank", "candidate", "sim")
 
@@ -59,6 +82,7 @@ def score_candidates(cands: DataFrame, recent: DataFrame, sims: DataFrame,
                      threshold: float = S.SIMILARITY_THRESHOLD, penalty: str = "as_written") -> DataFrame:
     """(userId, candidate, priority, wsum, n, incr, decr) for candidates with any recent
     match; wsum = sum of sim * score over the n matching recent entries."""
+    sims = sims.select("productId", "recProductId", "score")
     pairs = (cands.select("userId", "candidate")
              .join(recent.select("userId", F.col("productId").alias("recent"), F.col("score").alias("rscore")),
                    "userId")

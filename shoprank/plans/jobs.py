@@ -60,7 +60,10 @@ def tune(spark: SparkSession, base: str, seed: int = 42) -> DataFrame:
 
 
 def similarity_pairs(spark: SparkSession, base: str, table: str = S.CONTENT_PRODUCT_RECS) -> DataFrame:
-    """Flat (productId, recProductId, score) from a nested similarity table, for the
-    online recommender."""
+    """Flat (productId, rank, recProductId, score) from a nested similarity table, for
+    the online recommender; rank is the list position, so candidates can be read by
+    rank band without re-sorting."""
     recs = read_table(spark, base, table)
-    return recs.select("productId", F.inline("recs").alias("recProductId", "score"))
+    return (recs.select("productId", F.posexplode("recs").alias("pos", "r"))
+            .select("productId", (F.col("pos") + 1).alias("rank"), F.col("r.productId").alias("recProductId"),
+                    F.col("r.score").alias("score")))

@@ -125,7 +125,9 @@ def process_batch(batch: DataFrame, batch_id: int, base: str, ratings: DataFrame
         initial = (maintenance.recent_from_ratings(ratings.join(users, "userId", "left_semi"))
                    .join(logged.select("userId").distinct(), "userId", "left_anti"))
         queue = logged.drop("batch_id").unionByName(initial)
-        sims = spark.read.parquet(sims_path).select("productId", "recProductId", "score")
+        sims = spark.read.parquet(sims_path)
+        keep = [c for c in ("productId", "rank", "recProductId", "score") if c in sims.columns]
+        sims = sims.select(*keep)
 
         recs = online.recommend_batch(events, queue, rated, sims, penalty=penalty)
         new_queue = maintenance.push_recent(queue, events)

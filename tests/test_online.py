@@ -65,3 +65,14 @@ def test_push_recent_caps_queue(spark):
     e = spark.createDataFrame([(1, 900, 5.0, 0, 1), (1, 901, 5.0, 0, 2)], EV)
     out = sorted((r.pos, r.productId) for r in maintenance.push_recent(q, e).collect())
     assert len(out) == 40 and out[0] == (1, 901) and out[1] == (2, 900) and out[-1] == (40, 37)
+
+
+def test_candidates_deep_in_a_partner_list(spark):
+    # product 1 has 100 partners with falling similarity; the user rated the best 50
+    sims = spark.createDataFrame([(1, 100 + i, 0.99 - i * 0.005) for i in range(100)], SIM)
+    last = spark.createDataFrame([(1, 1)], "userId int, productId int")
+    rated = spark.createDataFrame([(1, 100 + i) for i in range(50)], RT)
+    got = [r.candidate for r in online.candidates(last, sims, rated).orderBy("rank").collect()]
+    assert got == [150 + i for i in range(20)]
+    ranked = online.rank_partners(sims)
+    assert [r.candidate for r in online.candidates(last, ranked, rated).orderBy("rank").collect()] == got
