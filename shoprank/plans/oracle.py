@@ -303,3 +303,10 @@ SQL["normalised_ui_ratings"] = """
 SELECT CAST(user_id AS INTEGER) AS userId, CAST(json_extract_string(props, '$.k') AS INTEGER) AS productId,
        round(CAST(CAST(floor(value) AS BIGINT) % 10 + 1 AS DOUBLE) / 2, 2) AS score
 FROM events WHERE event_type = 'purchase'"""
+
+SQL["stream_recs_lookup"] = with_(RATINGS, PRODUCTS, AVERAGES, EVENTS, TOKENS, TFIDF, CONTENT, ONLINE) + """,
+pri AS (SELECT userId, candidate, base + (log10(greatest(incr, 1)) - log10(greatest(incr, 1))) AS score FROM scored),
+ranked AS (SELECT userId, row_number() OVER (PARTITION BY userId ORDER BY score DESC, candidate) AS rank,
+                  candidate FROM pri
+           WHERE userId IN (SELECT CAST(user_id AS INTEGER) FROM events)),
+""" + _hydrate("ranked", "userId", "candidate")

@@ -340,3 +340,26 @@ def q_normalised_ui_ratings(spark, sf):
     return ev.select(F.col("user_id").cast("int").alias("userId"),
                      F.get_json_object("props", "$.k").cast("int").alias("productId"),
                      normalise_score(ui).alias("score"))
+
+
+def _web_users(spark, sf) -> DataFrame:
+    """Users of the web events are the lookup requests of the per-user reads."""
+    return td.table(spark, sf, "events").select(F.col("user_id").cast("int").alias("userId"))
+
+
+@query("stream_recs_lookup")
+def q_stream_recs_lookup(spark, sf):
+    """SV7: StreamRecs of the web users, hydrated (list order as in ``stream_recs``)."""
+    recs = _stream_recs(spark, sf, "as_written")
+    r = td.ratings(spark, sf)
+    return _hydrated(serving.lookup_flat(_web_users(spark, sf), recs, td.products(spark, sf), _averages(r),
+                                         "userId", "productId"))
+
+
+@query("user_recs_lookup")
+def q_user_recs_lookup(spark, sf):
+    """SV6: ALS UserRecs of the web users, hydrated (no SQL oracle: ALS)."""
+    r = td.ratings(spark, sf)
+    recs = als.predict_top_n(als.fit_als(r)).select("userId", "rank", "productId")
+    return _hydrated(serving.lookup_flat(_web_users(spark, sf), recs, td.products(spark, sf), _averages(r),
+                                         "userId", "productId"))
