@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shoprank import schemas as S
 from shoprank.operators import als, content, cooccurrence, stats
-from shoprank.operators.topk import to_recs
+from shoprank.operators.topk import rank_within, to_recs
 from shoprank.sources.files import load_tables, read_products, read_ratings, read_table, write_table
 
 
@@ -37,21 +37,33 @@ def item_cf(spark: SparkSession, base: str, n: int = S.ITEMCF_MAX_RECOMMENDATION
     write_table(cooccurrence.item_cf(read_table(spark, base, S.RATING), n), base, S.ITEMCF_PRODUCT_RECS)
 
 
-def content_based(spark: SparkSession, base: str, vectoriser: str = "hashing") -> DataFrame:
+def _write_similarity(ranked: DataFrame, base: str, name: str, nested: bool) -> None:
+    """Similarity lists have no size cap (every partner above 0.4), so by default they
+    are written flat, one row per (product, rank), clustered by product; ``nested=True``
+    writes the reference shape (one array per product), whose rows grow with the
+    catalogue."""
+    if nested:
+        write_table(to_recs(ranked, "productId", "recProductId", "score", ranked=True), base, name)
+    else:
+        write_table(ranked.repartitionByRange("productId", "rank").sortWithinPartitions("productId", "rank"),
+                    base, name)
+
+
+def content_based(spark: SparkSession, base: str, vectoriser: str = "hashing", nested: bool = False) -> None:
     """JB9: TF-IDF cosine lists -> ContentBasedProductRecs (hashing = reference parity)."""
-    pairs = content.content_similarity(read_table(spark, base, S.PRODUCT), vectoriser)
-    recs = to_recs(pairs, "productId", "recProductId", "score")
-    write_table(recs, base, S.CONTENT_PRODUCT_RECS)
-    return recs
+    products = read_table(spark, base, S.PRODUCT)
+    weights = content.tf_idf(products) if vectoriser == "exact" else content.hashed_tf_idf(products)
+    _write_similarity(content.ranked_similarity(weights, decimals=None), base, S.CONTENT_PRODUCT_RECS, nested)
 
 
 def offline(spark: SparkSession, base: str, rank: int = S.ALS_RANK, iters: int = S.ALS_ITERATIONS,
-            lam: float = S.ALS_LAMBDA, seed: int = 42) -> None:
+            lam: float = S.ALS_LAMBDA, seed: int = 42, nested: bool = False) -> None:
     """JB5 + JB6: one ALS fit -> UserRecs (top 20, score > 0) and ProductRecs (factor cosine)."""
     model = als.fit_als(read_table(spark, base, S.RATING), rank, iters, lam, seed)
     write_table(als.user_recommendations(model), base, S.USER_RECS)
-    pairs = als.product_recommendations(model)
-    write_table(to_recs(pairs, "productId", "recProductId", "score"), base, S.PRODUCT_RECS)
+    ranked = rank_within(als.product_recommendations(model), "productId",
+                         [F.desc("score"), F.asc("recProductId")])
+    _write_similarity(ranked, base, S.PRODUCT_RECS, nested)
 
 
 def tune(spark: SparkSession, base: str, seed: int = 42) -> DataFrame:
@@ -60,10 +72,12 @@ def tune(spark: SparkSession, base: str, seed: int = 42) -> DataFrame:
 
 
 def similarity_pairs(spark: SparkSession, base: str, table: str = S.CONTENT_PRODUCT_RECS) -> DataFrame:
-    """Flat (productId, rank, recProductId, score) from a nested similarity table, for
-    the online recommender; rank is the list position, so candidates can be read by
-    rank band without re-sorting."""
-    recs = read_table(spark, base, table)
+    """Flat (productId, rank, recProductId, score) from a similarity table (flat, or
+    nested, then rank is the list position), for the online recommender, which reads
+    candidates by rank band without re-sorting."""
+    recs = spark.read.parquet(f"{base.rstrip('/')}/{table}")
+    if "recs" not in recs.columns:
+        return recs.select("productId", "rank", "recProductId", "score")
     return (recs.select("productId", F.posexplode("recs").alias("pos", "r"))
             .select("productId", (F.col("pos") + 1).alias("rank"), F.col("r.productId").alias("recProductId"),
                     F.col("r.score").alias("score")))

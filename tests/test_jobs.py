@@ -16,12 +16,18 @@ def test_batch_jobs_and_stream_end_to_end(spark, tmp_dir):
     jobs.statistics(spark, base)
     jobs.item_cf(spark, base)
     jobs.content_based(spark, base, vectoriser="exact")
-    jobs.offline(spark, base)
+    jobs.offline(spark, base, nested=True)
     n_products = read_table(spark, base, S.PRODUCT).count()
     assert read_table(spark, base, S.RATE_MORE_PRODUCTS).count() == n_products
     assert read_table(spark, base, S.ITEMCF_PRODUCT_RECS).where(F.size("recs") > 10).count() == 0
     recent = read_table(spark, base, S.RATE_MORE_RECENTLY_PRODUCTS)
     assert recent.select("yearmonth").distinct().count() > 1
+    assert set(spark.read.parquet(os.path.join(base, S.CONTENT_PRODUCT_RECS)).columns) == {
+        "productId", "rank", "recProductId", "score"}
+    assert "recs" in read_table(spark, base, S.PRODUCT_RECS).columns
+    nested_sims = jobs.similarity_pairs(spark, base, S.PRODUCT_RECS)
+    assert nested_sims.where("rank = 1").count() == read_table(spark, base, S.PRODUCT_RECS).where(
+        F.size("recs") > 0).count()
     user_recs = read_table(spark, base, S.USER_RECS)
     assert user_recs.where((F.size("recs") > 20) | (F.size("recs") == 0)).count() == 0
     # the stored content lists feed the stream recommender with their list rank
