@@ -22,14 +22,22 @@ from shoprank.functions.columns import normalise_seconds, username_hash
 from shoprank.operators.topk import rank_within
 
 
+def _present(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys of the batch that the stored table holds. The stored table is
+    semi-joined to the batch's keys first (a broadcast of the batch when Spark measures
+    it small), so only matched keys are de-duplicated, never the whole table."""
+    batch_keys = incoming.select(*keys).distinct()
+    return existing.select(*keys).join(batch_keys, keys, "left_semi").distinct()
+
+
 def new_keys(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key is not stored yet."""
-    return incoming.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return incoming.join(_present(incoming, existing, keys), keys, "left_anti")
 
 
 def existing_keys(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key is already stored."""
-    return incoming.join(existing.select(*keys).distinct(), keys, "left_semi")
+    return incoming.join(_present(incoming, existing, keys), keys, "left_semi")
 
 
 def latest_per_pair(events: DataFrame) -> DataFrame:
