@@ -11,7 +11,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_or_is_listed_rows_only():
     rows_only = {"content_similarity_hashed", "als_user_recs", "als_product_recs", "als_grid", "user_recs_lookup"}
-    assert set(E.queries()) - set(E.oracle_sql()) == rows_only
+    assert set(E.QUERIES) - set(E.oracle_sql()) == rows_only
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
