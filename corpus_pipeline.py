@@ -18,7 +18,7 @@ from shoprank.llm.common import read
 from shoprank.llm.decontaminate import leaks
 from shoprank.llm.jaccard import jaccard_components
 from shoprank.llm.packing import pack
-from shoprank.llm.quality import base_failed, verdict, with_features
+from shoprank.llm.quality import accepted
 from shoprank.llm.queries import tokenizer_path
 from shoprank.llm.suffix_dedup import remove_repeats
 from shoprank.session import checkpoint_dir, materialise
@@ -29,8 +29,7 @@ PASSAGE_BYTES = 240
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
-    q = F.col("q")
-    return with_features(docs).where(~base_failed(q) & verdict(q)).select(*docs.columns)
+    return docs.where(accepted(F.col("text")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

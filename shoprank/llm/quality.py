@@ -1,13 +1,13 @@
 """Quality rules: a threshold table compiled into one Spark projection.
 
 ``RULES`` is the table: each row names a ratio of the counted features, the allowed range
-and from how many words on it applies. ``with_features`` counts words, symbols, stop words
+and from how many words on it applies. ``features`` counts words, symbols, stop words
 and lines with built-in functions only; ``verdict`` turns the table into one boolean
 column. There is no user function and no shuffle.
 
 Null texts count as empty: no words, base_failed, not kept. Words are
 ``[^\\x20\\x09-\\x0D]+``; code points are counted as characters; lines end at ``\\n``.
-Repeated rows are judged alike; other columns pass through ``with_features``.
+Repeated rows are judged alike; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,22 +81,24 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(_bind(hashes, among))
 
 
-def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the counted features as extra columns under the struct ``q``."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    base = docs.withColumn("_q_body", body).withColumn("_q_spaced", _spaced(F.col("_q_body")))
-    base = base.withColumn("_q_words", F.array_remove(F.split("_q_spaced", " ", -1), ""))
-    words, body, spaced = F.col("_q_words"), F.col("_q_body"), F.col("_q_spaced")
-    lines = F.filter(F.split(body, "\n", -1), lambda x: F.trim(_spaced(x)) != "")
-    counted = F.struct(
-        F.size(words).cast("long").alias("n_words"),
-        F.length(F.replace(spaced, F.lit(" "), F.lit(""))).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        F.size(lines).cast("long").alias("n_lines"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter(words, lambda w: w.isin(STOP_FORMS))).cast("long").alias("n_stop_words"),
-        _repeat_words(words).alias("n_repeat_words"))
-    return base.withColumn("q", counted).drop("_q_body", "_q_spaced", "_q_words")
+def features(text: Column) -> Column:
+    """The counted features of a text, as one struct. Every intermediate value is bound to a
+    lambda variable, so it is worked out once wherever the optimizer moves the expression."""
+
+    def counted(body: Column, spaced: Column, words: Column, lines: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.replace(spaced, F.lit(" "), F.lit(""))).cast("long").alias("word_chars"),
+            F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+            F.size(lines).cast("long").alias("n_lines"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            F.size(F.filter(words, lambda w: w.isin(STOP_FORMS))).cast("long").alias("n_stop_words"),
+            _repeat_words(words).alias("n_repeat_words"))
+
+    return _bind(F.coalesce(text, F.lit("")), lambda body: _bind(
+        F.filter(F.split(body, "\n", -1), lambda x: F.trim(_spaced(x)) != ""), lambda lines: _bind(
+            _spaced(body), lambda spaced: _bind(
+                F.array_remove(F.split(spaced, " ", -1), ""), lambda words: counted(body, spaced, words, lines)))))
 
 
 def base_failed(q: Column) -> Column:
@@ -117,10 +119,13 @@ def verdict(q: Column, rules=RULES) -> Column:
     return out
 
 
+def accepted(text: Column, rules=RULES) -> Column:
+    """Whether a text passes the base rules and the table."""
+    return _bind(features(text), lambda q: ~base_failed(q) & verdict(q, rules))
+
+
 def quality_report(docs: DataFrame, rules=RULES) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every row of ``docs`` (doc_id, text)."""
+    out = docs.select("doc_id", features(F.col("text")).alias("q"))
     q = F.col("q")
-    out = with_features(docs.select("doc_id", "text")).select("doc_id", "q")
-    return out.select("doc_id", *[q[c].alias(c) for c in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")],
-        base_failed(q).alias("base_failed"), (~base_failed(q) & verdict(q, rules)).alias("kept"))
+    return out.select("doc_id", "q.*", base_failed(q).alias("base_failed"), (~base_failed(q) & verdict(q, rules)).alias("kept"))
