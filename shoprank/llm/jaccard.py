@@ -12,7 +12,8 @@ The rest is split by size:
   filter in order of document frequency, which is exact). A list first offers one hub per
   size class; what that links is merged, and then only pairs of sets that still lie in
   different components are listed and counted, so a group of near copies costs its
-  members, not their pairs.
+  members, not their pairs. Of these pairs, the distances to the components' centres rule
+  out most (triangle inequality of the Jaccard distance).
 
 The boundary is the size up to which all subsets cost less than the scans of the same
 sets' lists, from counts over the whole input.
@@ -191,54 +192,95 @@ def _light_links(sets: DataFrame, percent: int) -> DataFrame:
             .where("u != v").distinct())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those (u, v) of ``pairs`` that link, by the sizes of their intersections."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (u, v and others) with both sizes and the size of the intersection."""
     a = sets.select(F.col("key").alias("u"), F.col("n").alias("n_u"), F.col("toks").alias("t_u"))
     b = sets.select(F.col("key").alias("v"), F.col("n").alias("n_v"), F.col("toks").alias("t_v"))
-    common = F.size(F.array_intersect("t_u", "t_v"))
     return (pairs.join(a, "u").join(b, "v")
-            .where(common * (100 + percent) >= percent * (F.col("n_u") + F.col("n_v")))
+            .withColumn("common", F.size(F.array_intersect("t_u", "t_v"))).drop("t_u", "t_v"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those (u, v) of ``pairs`` that link, by the sizes of their intersections."""
+    return (_overlaps(pairs, sets).where(F.col("common") * (100 + percent) >= percent * (F.col("n_u") + F.col("n_v")))
             .select("u", "v"))
 
 
+def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with their Jaccard distance, a metric."""
+    return _overlaps(pairs, sets).withColumn(
+        "far", 1 - F.col("common") / (F.col("n_u") + F.col("n_v") - F.col("common"))).drop("n_u", "n_v", "common")
+
+
 def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataFrame:
     """Links that involve a set beyond the boundary, as far as components need them."""
     share = F.ceil(F.col("n") * percent / 100).cast("int")
+    # a partner shares only repeated shingles, which bounds its size
+    most = F.floor((F.size("toks") * (100 + percent) - F.col("n") * percent) / percent).cast("int")
     lists = materialise(
         sets.where(share <= F.size("toks"))
         .withColumn("reach", F.floor(F.col("n") * 100 / percent))
         .where("reach > boundary")  # a smaller set meets only light ones
-        .select("key", "n", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int").alias("class"),
+        .select("key", "n", most.alias("most"),
+                F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int").alias("class"),
                 F.explode(F.slice("toks", F.lit(1), F.size("toks") - share + 1)).alias("tok")), "jaccard-lists")
 
     def fits(a: str, b: str):
-        return ((F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent))
+        n, m = F.col(f"n_{a}"), F.col(f"n_{b}")
+        return ((n * 100 >= m * percent) & (m * 100 >= n * percent)
+                & (m <= F.col(f"most_{a}")) & (n <= F.col(f"most_{b}")))
+
+    def labelled(links: DataFrame) -> DataFrame:
+        comps = connected_components(links).select(F.col("node").alias("key"), "label")
+        return lists.join(comps, "key", "left").withColumn("label", F.coalesce("label", "key"))
 
     links = materialise(light_links, "jaccard-links")
     for best in (True, False):
-        comps = connected_components(links).select(F.col("node").alias("key"), "label")
-        rows = lists.join(comps, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        hubs = (rows.groupBy("tok", "class").agg(F.min(F.struct("label", "key", "n")).alias("hub"), F.count("*").alias("members"))
-                .where("members > 1").select("tok", "class", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"),
-                                             F.col("hub.label").alias("hub_label")))
-        pairs = (rows.join(hubs, ["tok", "class"]).where(F.col("label") != F.col("hub_label")).where(fits("n", "hub_n"))
-                 .groupBy(F.col("key").alias("u"), F.col("hub").alias("v")).agg(F.count("*").alias("votes")))
+        rows = labelled(links)
+        hubs = (rows.groupBy("tok", "class").agg(F.min(F.struct("label", "key", "n", "most")).alias("hub"), F.count("*").alias("members"))
+                .where("members > 1").select("tok", "class", F.col("hub.key").alias("v"), F.col("hub.n").alias("n_v"),
+                                             F.col("hub.most").alias("most_v"), F.col("hub.label").alias("lb")))
+        pairs = (rows.select("tok", "class", F.col("label").alias("la"), F.col("key").alias("u"), F.col("n").alias("n_u"),
+                             F.col("most").alias("most_u"))
+                 .join(hubs, ["tok", "class"]).where(F.col("la") != F.col("lb")).where(fits("u", "v"))
+                 .groupBy("u", "v").agg(F.count("*").alias("votes")))
         if best:
             pairs = pairs.groupBy("u").agg(F.max(F.struct("votes", "v")).alias("top")).select("u", F.col("top.v").alias("v"))
         links = materialise(links.unionByName(_verified(pairs.select("u", "v"), sets, percent)), "jaccard-links")
 
-    comps = connected_components(links).select(F.col("node").alias("key"), "label")
-    rows = materialise(lists.join(comps, "key", "left").withColumn("label", F.coalesce("label", "key")), "jaccard-rows")
-    spans = rows.groupBy("tok", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    mixed = rows.groupBy("tok").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("tok")
-    spans = spans.join(mixed, "tok")
-    cross = (spans.select("tok", F.col("label").alias("la"), F.col("least").alias("a0"), F.col("most").alias("a1"))
-             .join(spans.select("tok", F.col("label").alias("lb"), F.col("least").alias("b0"), F.col("most").alias("b1")), "tok")
-             .where((F.col("la") < F.col("lb")) & (F.col("a1") * 100 >= F.col("b0") * percent)
-                    & (F.col("b1") * 100 >= F.col("a0") * percent)).select("tok", "la", "lb"))
-    pairs = (cross.join(rows.select("tok", F.col("label").alias("la"), F.col("key").alias("u"), F.col("n").alias("n_u")), ["tok", "la"])
-             .join(rows.select("tok", F.col("label").alias("lb"), F.col("key").alias("v"), F.col("n").alias("n_v")), ["tok", "lb"])
-             .where(fits("n_u", "n_v")).select("u", "v").distinct())
+    # Every component gets a centre, its largest hub. With distances d to the centres and D
+    # between two centres, d(u, v) >= D - d(u) - d(v): pairs that this puts too far apart go.
+    limit = 1 - percent / 100 + 1e-9
+    comps = materialise(connected_components(links).select(F.col("node").alias("key"), "label"), "jaccard-comps")
+    centres = (links.groupBy(F.col("v").alias("key")).agg(F.count("*").alias("size")).join(comps, "key")
+               .groupBy("label").agg(F.max(F.struct("size", "key")).alias("top")).select("label", F.col("top.key").alias("centre")))
+    inside = _distances(comps.join(centres, "label").select(F.col("key").alias("u"), F.col("centre").alias("v"), "label"), sets)
+    inside = materialise(inside.select(F.col("u").alias("key"), "label", F.col("v").alias("centre"), F.col("far")), "jaccard-inside")
+    rows = lists.join(inside, "key", "left").select(
+        "tok", "key", "n", "most", F.coalesce("label", "key").alias("label"), F.coalesce("centre", "key").alias("centre"),
+        F.coalesce("far", F.lit(0.0)).alias("d"))
+    rows = materialise(rows, "jaccard-rows")
+    members = rows.drop("tok").distinct()
+    whole = members.groupBy("label", "centre").agg(F.min("n").alias("n"), F.max("most").alias("most"),
+                                                   F.max("d").alias("d"), F.count("*").alias("size"))
+    # All lists with one smallest component are gone through together: the components in them
+    # are paired once, not once for each shingle they share.
+    mixed = rows.groupBy("tok").agg(F.min("label").alias("hub"), F.max("label").alias("b")).where("hub < b").select("tok", "hub")
+    near = rows.select("tok", "label").join(mixed, "tok").select("hub", "label").distinct().join(whole, "label")
+
+    def side(frame: DataFrame, name: str, end: str) -> DataFrame:
+        return frame.select(*[F.col(c).alias({"label": f"l{name}", "key": end, "centre": end}.get(c, f"{c}_{end}"))
+                              if c != "hub" else F.col(c) for c in frame.columns])
+
+    cross = (side(near, "a", "u").join(side(near, "b", "v"), "hub")
+             .where(F.struct("size_u", "la") < F.struct("size_v", "lb"))
+             .where((F.col("n_u") <= F.col("most_v")) & (F.col("n_v") <= F.col("most_u")))
+             .select("la", "lb", "u", "v", (F.col("d_u") + F.col("d_v")).alias("radii")).distinct())
+    apart = _distances(materialise(cross, "jaccard-cross"), sets).where(F.col("far") - F.col("radii") <= limit)
+    apart = materialise(apart.select("la", "lb", "far"), "jaccard-apart")
+    own = members.drop("centre")
+    pairs = (apart.join(side(own, "a", "u"), "la").join(side(own, "b", "v"), "lb")
+             .where(fits("u", "v") & (F.col("far") - F.col("d_u") - F.col("d_v") <= limit)).select("u", "v").distinct())
     return links.unionByName(_verified(pairs, sets, percent))
 
 
