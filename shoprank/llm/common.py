@@ -18,6 +18,11 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def bind(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` worked out once, wherever the optimizer moves it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

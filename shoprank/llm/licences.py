@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 
 from shoprank.session import materialise
 
+from .common import bind
+
 #: Lines of the input that training takes as unknown, and as many for the bar.
 SAMPLE = 4000
 VARIANTS = 24
-FEATURES = 1 << 14
+FEATURES = 1 << 13
 #: Least share of a template's words in a confirmed paragraph.
 CONFIRM = 0.6
 
@@ -65,13 +67,14 @@ UNKNOWN = len(FAMILIES)
 
 
 def words_of(text: Column) -> Column:
-    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    """Lower-cased runs of letters and digits."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), 1)
 
 
 def grams_of(words: Column) -> Column:
-    pairs = F.transform(words, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
-    return F.concat(words, F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))))
+    """The words and the pairs of neighbours."""
+    return bind(words, lambda w: F.concat(w, F.transform(
+        F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1)))))
 
 
 def _templates(spark) -> DataFrame:
@@ -114,7 +117,7 @@ def train(docs: DataFrame, sample: int = SAMPLE):
     rows = variants.unionByName(picked.where(unknown == 0).select(F.lit(UNKNOWN).alias("family"), "words"))
     hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features")
     known = hashing.transform(rows.select(F.col("family").cast("double").alias("label"), grams_of(F.col("words")).alias("grams")))
-    model = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=60).fit(known)
+    model = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=25).fit(known.coalesce(4))
     held = model.transform(hashing.transform(picked.where(unknown == 1).select(grams_of(F.col("words")).alias("grams"))))
     worst = held.select((1 - _probability(F.col("probability"), UNKNOWN)).alias("p")).agg(F.percentile_approx("p", 0.999, 10000)).first()[0]
     return hashing, model, min(0.95, max(0.5, worst or 0.0))

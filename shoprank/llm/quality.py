@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bind
+
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
     "the of and to in is that it for was on are as with be by this at from or an a have not they which "
@@ -44,11 +46,6 @@ def _spaced(text: Column) -> Column:
     return text
 
 
-def _bind(value: Column, then) -> Column:
-    """``then(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 #: With up to so many repeated window hashes, windows are looked up before they are sorted.
 FEW = 32
 
@@ -73,12 +70,12 @@ def _repeat_words(words: Column) -> Column:
         def exact(twice: Column) -> Column:
             maybe = F.when(F.size(twice) <= FEW, F.filter(at, lambda i: F.array_contains(twice, F.get(h, i)))).otherwise(at)
             windows = F.sort_array(F.transform(maybe, lambda i: F.struct(spelled(i).alias("w"), i.alias("i"))))
-            return _bind(windows, lambda s: _bind(F.sort_array(repeated(s)), covered))
+            return bind(windows, lambda s: bind(F.sort_array(repeated(s)), covered))
 
-        twice = _bind(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, k: (k > 0) & (F.get(s, k - 1) == x))))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(_bind(twice, exact))
+        twice = bind(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, k: (k > 0) & (F.get(s, k - 1) == x))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(bind(twice, exact))
 
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(_bind(hashes, among))
+    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(bind(hashes, among))
 
 
 def features(text: Column) -> Column:
@@ -95,9 +92,9 @@ def features(text: Column) -> Column:
             F.size(F.filter(words, lambda w: w.isin(STOP_FORMS))).cast("long").alias("n_stop_words"),
             _repeat_words(words).alias("n_repeat_words"))
 
-    return _bind(F.coalesce(text, F.lit("")), lambda body: _bind(
-        F.filter(F.split(body, "\n", -1), lambda x: F.trim(_spaced(x)) != ""), lambda lines: _bind(
-            _spaced(body), lambda spaced: _bind(
+    return bind(F.coalesce(text, F.lit("")), lambda body: bind(
+        F.filter(F.split(body, "\n", -1), lambda x: F.trim(_spaced(x)) != ""), lambda lines: bind(
+            _spaced(body), lambda spaced: bind(
                 F.array_remove(F.split(spaced, " ", -1), ""), lambda words: counted(body, spaced, words, lines)))))
 
 
@@ -121,7 +118,7 @@ def verdict(q: Column, rules=RULES) -> Column:
 
 def accepted(text: Column, rules=RULES) -> Column:
     """Whether a text passes the base rules and the table."""
-    return _bind(features(text), lambda q: ~base_failed(q) & verdict(q, rules))
+    return bind(features(text), lambda q: ~base_failed(q) & verdict(q, rules))
 
 
 def quality_report(docs: DataFrame, rules=RULES) -> DataFrame:

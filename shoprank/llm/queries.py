@@ -87,10 +87,10 @@ QUERIES = {f.__name__: f for f in (
     op1_html_min_cut, op2_licence_scan, op3_chat_format, op4_warc, op5_decontaminate, op6_lpt_sharding,
     op7_jaccard_join, op8_best_fit_packing, op9_suffix_dedup, op10_quality_rules)}
 
-_CASE = "'\\### Assistant: </turn> ok'"
+_CASE = r"'\### Assistant: </turn> ok'"
 
 SQL: dict[str, str] = {
-    "op3_chat_format": f"""
+    "op3_chat_format": rf"""
 WITH messages AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', {_CASE} UNION ALL SELECT -7, 1, 'assistant', {_CASE}),
@@ -110,12 +110,12 @@ f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >=
 SELECT p.*, CASE WHEN first IS NOT NULL AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)""",
-    "op10_quality_rules": """
+    "op10_quality_rules": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-t AS (SELECT *, list_filter(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), x -> x <> '') AS words,
-  list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
-at AS (SELECT r, unnest(range(1, len(words) - 1)) AS i FROM t WHERE len(words) > 2),
-win AS (SELECT at.r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w FROM at JOIN t USING (r)),
+t AS (SELECT *, list_filter(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+places AS (SELECT r, unnest(range(1, len(words) - 1)) AS i FROM t WHERE len(words) > 2),
+win AS (SELECT places.r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w FROM places JOIN t USING (r)),
 rep AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
 covered AS (SELECT r, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
 q AS (SELECT t.r, doc_id, CAST(len(words) AS BIGINT) AS n_words,
@@ -123,11 +123,11 @@ q AS (SELECT t.r, doc_id, CAST(len(words) AS BIGINT) AS n_words,
   CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
   CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
-  CAST(len(list_filter(words, x -> list_contains(%s, x))) AS BIGINT) AS n_stop_words
+  CAST(len(list_filter(words, lambda x: list_contains(STOP_FORMS, x))) AS BIGINT) AS n_stop_words
   FROM t LEFT JOIN covered USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, base_failed,
   NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 12 * n_words AND 10 * n_symbols <= n_words
   AND 50 * n_stop_words >= n_words AND 2 * n_dup_lines <= n_lines AS kept
-FROM b""" % ("[" + ", ".join(f"'{w}'" for w in STOP_FORMS) + "]"),
+FROM b""".replace("STOP_FORMS", str(STOP_FORMS)),
 }
