@@ -3,13 +3,14 @@ and preference updates. Each takes the current table and a batch and returns the
 table (or the rows to add), as joins; the caller writes it (``sources.tables``).
 
 Semantics:
-* ingest: per (user, product) the last event of the batch wins (highest ``seq``); an
-  existing pair gets the new score and keeps its timestamp; a new pair is inserted
-  with its own timestamp (milliseconds are brought to seconds).
+* ingest: per (user, product) the score of the last event of the batch wins (highest
+  ``seq``); an existing pair keeps its timestamp; a new pair is inserted with the timestamp
+  of its first event (milliseconds are brought to seconds).
 * recent queue: newest first, at most 40 per user; re-rated products appear again.
 * register: a name already stored is rejected, a name twice in the batch is taken
   once (first by ``seq``); userId is the 32-bit JVM string hash of the name.
-* preferences: ``first`` and ``prefGenres`` replaced for the users in the change set.
+* preferences: ``first`` and ``prefGenres`` replaced for the users in the change set; of
+  several changes of a user the last counts (by ``seq`` where there is one).
 """
 
 from __future__ import annotations
@@ -35,27 +36,23 @@ def new_keys(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataF
     return incoming.join(_present(incoming, existing, keys), keys, "left_anti")
 
 
-def existing_keys(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows whose key is already stored."""
-    return incoming.join(_present(incoming, existing, keys), keys, "left_semi")
-
-
 def latest_per_pair(events: DataFrame) -> DataFrame:
-    """(userId, productId, score, timestamp) of the last event (by seq) per pair."""
-    last = F.max_by(F.struct("score", "timestamp"), "seq")
-    return (events.groupBy("userId", "productId").agg(last.alias("l"))
-            .select("userId", "productId", F.col("l.score").alias("score"),
-                    normalise_seconds("l.timestamp").alias("timestamp")))
+    """(userId, productId, score, timestamp) per pair: the score of the last event (by seq) and
+    the timestamp of the first, which is the one that inserts a new pair."""
+    return (events.groupBy("userId", "productId")
+            .agg(F.max_by("score", "seq").alias("score"), F.min_by("timestamp", "seq").alias("timestamp"))
+            .withColumn("timestamp", normalise_seconds("timestamp")))
 
 
 def ingest_ratings(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """New ratings table. ``incoming`` has userId, productId, score, timestamp, seq."""
-    latest = latest_per_pair(incoming)
-    upd = latest.select("userId", "productId", F.col("score").alias("new_score"))
-    kept = (existing.join(upd, ["userId", "productId"], "left")
-            .select("userId", "productId", F.coalesce("new_score", "score").alias("score"), "timestamp"))
-    inserted = new_keys(latest, existing, ["userId", "productId"])
-    return kept.unionByName(inserted.select("userId", "productId", "score", "timestamp"))
+    """New ratings table. ``incoming`` has userId, productId, score, timestamp, seq. One full
+    outer join: stored pairs keep their timestamp, so a batch gives the same table as its
+    events one by one."""
+    latest = latest_per_pair(incoming).withColumnsRenamed({"score": "new_score", "timestamp": "new_timestamp"})
+    stored = existing.select("userId", "productId", "score", "timestamp").withColumn("stored", F.lit(True))
+    return (stored.join(latest, ["userId", "productId"], "full")
+            .select("userId", "productId", F.coalesce("new_score", "score").alias("score"),
+                    F.when(F.col("stored"), F.col("timestamp")).otherwise(F.col("new_timestamp")).alias("timestamp")))
 
 
 def push_recent(queue: DataFrame, events: DataFrame, size: int = S.RECENT_QUEUE_SIZE) -> DataFrame:
@@ -93,8 +90,12 @@ def register_users(existing: DataFrame, incoming: DataFrame, now_ms: int | None
 
 
 def update_preferences(users: DataFrame, changes: DataFrame) -> DataFrame:
-    """users with ``first``/``prefGenres`` replaced from changes (userId, first, prefGenres)."""
-    ch = changes.select("userId", F.col("first").alias("c_first"), F.col("prefGenres").alias("c_pref"))
+    """users with ``first``/``prefGenres`` replaced from changes (userId, first, prefGenres[,
+    seq]); without ``seq`` a user's changes are ordered by their values."""
+    value = F.struct("first", "prefGenres")
+    last = F.max_by(value, "seq") if "seq" in changes.columns else F.max(value)
+    ch = (changes.groupBy("userId").agg(last.alias("c"))
+          .select("userId", F.col("c.first").alias("c_first"), F.col("c.prefGenres").alias("c_pref")))
     return (users.join(ch, "userId", "left")
             .select("userId", "username", "password",
                     F.coalesce("c_first", "first").alias("first"), "timestamp",

@@ -204,7 +204,7 @@ SELECT u.userId, u.username, ch.userId IS NULL AS first, coalesce(ch.prefs, '')
 FROM users u LEFT JOIN ch USING (userId)"""
 
 SQL["ingest_ratings"] = with_(RATINGS, EVENTS) + """,
-latest AS (SELECT userId, productId, arg_max(score, event_id) AS score, arg_max(ts, event_id) AS ts
+latest AS (SELECT userId, productId, arg_max(score, event_id) AS score, arg_min(ts, event_id) AS ts
            FROM rating_events GROUP BY userId, productId),
 kept AS (SELECT r.userId, r.productId, coalesce(l.score, r.score) AS score, r.ts AS timestamp
          FROM ratings r LEFT JOIN latest l USING (userId, productId)),

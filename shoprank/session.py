@@ -37,10 +37,11 @@ def get_session(
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session. On a cluster pass ``master=None`` and let
-    spark-submit decide; locally ``local[N]`` with N from ``BENCH_CPUS``."""
+    spark-submit decide; scripts pass ``local[N]``. ``BENCH_CPUS`` sizes the shuffle."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    builder = builder.master(master or f"local[{cpus}]")
+    if master:  # a master set here would win over that of spark-submit
+        builder = builder.master(master)
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -73,7 +74,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         key = id(sc)
         if key not in _LOCAL_CHECKPOINTS:

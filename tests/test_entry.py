@@ -19,4 +19,4 @@ def test_fast_queries_run_on_smoke_data(spark):
     qs = E.queries()
     for name in ["rate_more_recently", "hot_products", "content_lookup", "stream_recs", "log_filter",
                  "ingest_ratings", "register_users"]:
-        assert qs[name](spark, SF001).count() >= 0
+        assert qs[name](spark, SF001).count() > 0, name

@@ -11,7 +11,10 @@ def test_ingest_ratings(spark):
     new = spark.createDataFrame([(1, 10, 5.0, 999, 1), (2, 12, 1.0, 1451606400123, 2),
                                  (2, 12, 4.0, 1451606401000, 3)], EV)
     got = sorted(map(tuple, maintenance.ingest_ratings(old, new).collect()))
-    assert got == [(1, 10, 5.0, 100), (1, 11, 3.0, 200), (2, 12, 4.0, 1451606401)]
+    assert got == [(1, 10, 5.0, 100), (1, 11, 3.0, 200), (2, 12, 4.0, 1451606400)]
+    one = maintenance.ingest_ratings(old, new.where("seq <= 2"))
+    two = sorted(map(tuple, maintenance.ingest_ratings(one, new.where("seq > 2")).collect()))
+    assert two == got  # one batch gives what its events give one after another
 
 
 def test_register_users(spark):
@@ -24,6 +27,14 @@ def test_register_users(spark):
     assert got[""].userId == 0
 
 
+def test_repeated_changes_do_not_multiply_users(spark):
+    users = spark.createDataFrame([(1, "a", "p", True, 0, [])], S.USER_SCHEMA)
+    changes = spark.createDataFrame([(1, True, ["x"], 1), (1, False, ["y"], 2)],
+                                    "userId int, first boolean, prefGenres array<string>, seq long")
+    got = [(r.userId, r.first, r.prefGenres) for r in maintenance.update_preferences(users, changes).collect()]
+    assert got == [(1, False, ["y"])]
+
+
 def test_update_preferences(spark):
     users = spark.createDataFrame([(1, "a", "p", True, 0, []), (2, "b", "p", True, 0, [])], S.USER_SCHEMA)
     changes = spark.createDataFrame([(2, False, ["x"])], "userId int, first boolean, prefGenres array<string>")
