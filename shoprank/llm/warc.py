@@ -40,7 +40,8 @@ def write_archive(pages: DataFrame, path: str) -> None:
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     copies = (rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest")
               .agg(F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1 and first is not null").drop("n"))
-    rows = rows.join(copies, "digest", "left")
+    # written first, so that Spark knows its size and moves the pages only where it must
+    rows = rows.join(materialise(copies, "warc-copies"), "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     odd = F.col("url").rlike(r"[\x00-\x1F]")
     block = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
