@@ -60,7 +60,7 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
     """(tree_id, leaf, rank, score, place, msg_id) of the ``paths`` best root-to-leaf paths of
     every tree of ``messages`` (tree_id, msg_id, parent_id, score); place counts from the root.
     A path's score is the mean score of its messages; ties go to the smaller leaf id."""
-    own = messages.select("tree_id", "msg_id", "parent_id", F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))
+    own = messages.select("tree_id", "msg_id", "parent_id", F.coalesce(F.col("score"), F.lit(0.0)).alias("score")).distinct()
     parents = own.select("tree_id", F.col("msg_id").alias("parent_id"), F.lit(True).alias("there"))
     jump = materialise(
         own.join(parents, ["tree_id", "parent_id"], "left").select(
@@ -68,26 +68,28 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
             F.lit(1).cast("long").alias("steps"), "score"), "chat-jump")
     leaves = jump.select("tree_id", "msg_id").join(
         jump.where("up is not null").select("tree_id", F.col("up").alias("msg_id")), ["tree_id", "msg_id"], "left_anti")
-    levels, total = [jump], jump.count()
-    while True:  # after round k a message knows its ancestor 2**k up, or all of its path
+    total, rounds = jump.count(), 0
+    ended, levels = jump.where("up is null"), [jump.where("up is not null")]
+    while not levels[-1].isEmpty() and 1 << rounds <= total:
+        # after round k a message knows its ancestor 2**k up, or all of its path; those that
+        # know all of it are only looked up from then on
         here = levels[-1]
-        open_ends = here.where("up is not null").count()
-        if open_ends == 0 or 1 << (len(levels) - 1) > max(total, 1):
-            break
-        up = here.select("tree_id", F.col("msg_id").alias("up"), F.col("up").alias("far"),
-                         F.col("steps").alias("more"), F.col("score").alias("extra"))
-        step = here.join(up, ["tree_id", "up"], "left").select(
-            "tree_id", "msg_id", F.col("far").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-            (F.col("score") + F.coalesce("extra", F.lit(0.0))).alias("score"))
-        levels.append(materialise(step, "chat-jump"))
-    done = levels[-1].where("up is null").join(leaves, ["tree_id", "msg_id"])
+        up = ended.unionByName(here).select("tree_id", F.col("msg_id").alias("up"), F.col("up").alias("far"),
+                                            F.col("steps").alias("more"), F.col("score").alias("extra"))
+        step = materialise(here.join(up, ["tree_id", "up"]).select(
+            "tree_id", "msg_id", F.col("far").alias("up"), (F.col("steps") + F.col("more")).alias("steps"),
+            (F.col("score") + F.col("extra")).alias("score")), "chat-jump")
+        ended = ended.unionByName(step.where("up is null"))
+        levels.append(step.where("up is not null"))
+        rounds += 1
+    done = ended.join(leaves, ["tree_id", "msg_id"])
     order = Window.partitionBy("tree_id").orderBy(F.desc("score"), "leaf")
     chosen = (done.select("tree_id", F.col("msg_id").alias("leaf"), "steps", (F.col("score") / F.col("steps")).alias("score"))
               .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= paths))
     path = materialise(chosen.select("*", (F.col("steps") - 1).alias("place"), F.col("leaf").alias("msg_id")), "chat-path")
     for k in reversed(range(len(levels))):
         # messages 2**k above the known ones; the widest jumps come first
-        far = levels[k].where("up is not null").select("tree_id", "msg_id", "up")
+        far = levels[k].select("tree_id", "msg_id", "up")
         more = path.join(far, ["tree_id", "msg_id"]).select(
             "tree_id", "leaf", "steps", "score", "rank", (F.col("place") - (1 << k)).alias("place"), F.col("up").alias("msg_id"))
         path = materialise(path.unionByName(more.select(*path.columns)), "chat-path")
@@ -97,6 +99,7 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
 def conversations_of(messages: DataFrame, paths: int = 1) -> DataFrame:
     """(tree_id, leaf, rank, score, formatted) for the best paths of ``messages`` (tree_id,
     msg_id, parent_id, score, role, text)."""
+    messages = messages.select("tree_id", "msg_id", "parent_id", "score", "role", "text").distinct()
     texts = messages.select("tree_id", "msg_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = best_paths(messages, paths).join(texts, ["tree_id", "msg_id"])
     rows = turns.groupBy("tree_id", "leaf", "rank", "score").agg(F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))

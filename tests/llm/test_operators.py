@@ -160,7 +160,7 @@ def test_chat_round_trip_and_paths(spark):
     assert back[1] == [(r or "", t or "") for i, _, r, t in rows if i == 1] and back[2] == [("assistant", "y")] * 2
     assert {r["conv_id"] for r in chat.digests(formatted).collect()} == {1, 2, None}
     tree = spark.createDataFrame([(1, 1, None, 0.0), (1, 2, 1, 1.0), (1, 3, 1, 3.0), (1, 4, 2, 9.0), (1, 5, 4, 1.0), (1, 8, 9, 1.0), (1, 9, 8, 1.0),
-                                  (2, 1, 77, None)], "tree_id long, msg_id long, parent_id long, score double")
+                                  (1, 4, 2, 9.0), (2, 1, 77, None), (2, 1, 77, None)], "tree_id long, msg_id long, parent_id long, score double")
     paths = defaultdict(list)
     for r in chat.best_paths(tree, 5).orderBy("place").collect():
         paths[r["tree_id"], r["rank"]].append(r["msg_id"])
