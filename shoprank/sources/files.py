@@ -1,9 +1,10 @@
 """Scans and sinks: delimited product/rating files, named tables, and the load job.
 
 * ``read_products``: ``^``-separated text, 7 fields, keep 0,1,4,5,6; ids cast, strings
-  JVM-trimmed. ``mode='strict'`` fails on a bad id (ANSI cast, as the reference's
-  ``toInt`` does); ``'permissive'`` drops such rows (``rejected_products`` returns them).
-* ``read_ratings``: ``userId,productId,score,timestamp`` text, no header.
+  JVM-trimmed. ``mode='strict'`` fails on a bad id or a short line (ANSI cast and array
+  index); ``'permissive'`` leaves such rows to ``rejected_products``.
+* ``read_ratings``: ``userId,productId,score,timestamp`` text, no header; same modes, with
+  ``rejected_ratings``.
 * ``read_table`` / ``write_table``: named tables as Parquet directories under a base
   path with the schema of ``shoprank.schemas`` enforced on read (no inference).
 * ``load_tables``: replace both base tables; the rating table is range-partitioned and
@@ -23,14 +24,19 @@ def _cast(col, type_: str, mode: str):
     return col.cast(type_) if mode == "strict" else col.try_cast(type_)
 
 
+def _field(parts, i: int, mode: str):
+    """Field ``i`` of a split line; a line without it fails in strict mode, else gives null."""
+    return jvm_trim(F.element_at(parts, i + 1) if mode == "strict" else F.get(parts, i))
+
+
 def parse_products(lines: DataFrame, mode: str = "strict", value_col: str = "value") -> DataFrame:
     f = F.split(F.col(value_col), r"\^")
     return lines.select(
-        _cast(jvm_trim(F.get(f, 0)), "int", mode).alias("productId"),
-        jvm_trim(F.get(f, 1)).alias("name"),
-        jvm_trim(F.get(f, 4)).alias("imageUrl"),
-        jvm_trim(F.get(f, 5)).alias("categories"),
-        jvm_trim(F.get(f, 6)).alias("tags"),
+        _cast(_field(f, 0, mode), "int", mode).alias("productId"),
+        _field(f, 1, mode).alias("name"),
+        _field(f, 4, mode).alias("imageUrl"),
+        _field(f, 5, mode).alias("categories"),
+        _field(f, 6, mode).alias("tags"),
     )
 
 
@@ -50,24 +56,39 @@ def rejected_products(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(bad)
 
 
-def parse_ratings(lines: DataFrame, mode: str = "strict", value_col: str = "value") -> DataFrame:
+def _rating_columns(mode: str, value_col: str) -> list:
     f = F.split(F.col(value_col), ",")
-    return lines.select(
-        _cast(jvm_trim(F.get(f, 0)), "int", mode).alias("userId"),
-        _cast(jvm_trim(F.get(f, 1)), "int", mode).alias("productId"),
-        _cast(jvm_trim(F.get(f, 2)), "double", mode).alias("score"),
-        normalise_seconds(_cast(jvm_trim(F.get(f, 3)), "bigint", mode)).alias("timestamp"),
-    )
+    return [
+        _cast(_field(f, 0, mode), "int", mode).alias("userId"),
+        _cast(_field(f, 1, mode), "int", mode).alias("productId"),
+        _cast(_field(f, 2, mode), "double", mode).alias("score"),
+        normalise_seconds(_cast(_field(f, 3, mode), "bigint", mode)).alias("timestamp"),
+    ]
+
+
+def parse_ratings(lines: DataFrame, mode: str = "strict", value_col: str = "value") -> DataFrame:
+    return lines.select(*_rating_columns(mode, value_col))
 
 
 def read_ratings(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
     """Rating file scan (``userId,productId,score,timestamp``)."""
     parsed = parse_ratings(spark.read.text(path), mode)
     if mode == "permissive":
-        parsed = parsed.dropna()
+        parsed = parsed.where(~_undecoded())
     return parsed
 
 
+def _undecoded():
+    return (F.col("userId").isNull() | F.col("productId").isNull() | F.col("timestamp").isNull()
+            | F.col("score").isNull() | F.isnan("score"))
+
+
+def rejected_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that ``mode='permissive'`` leaves out: fewer than 4 fields or a bad number."""
+    lines = spark.read.text(path)
+    return lines.select("value", *_rating_columns("permissive", "value")).where(_undecoded()).select("value")
+
+
 def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 

@@ -7,7 +7,7 @@ on them); ``rejected_log_lines`` returns them for a bad-records sink. Both are p
 column expressions, so they run unchanged on a static frame or inside a streaming query.
 
 ``parse_rating_events`` decodes ``userId|productId|score|epochSeconds``. ``strict``
-casts (ANSI: a bad value fails the query, as the reference does); ``permissive`` uses
+casts (ANSI: a bad value or a short record fails the query); ``permissive`` uses
 ``try_cast`` and drops rows that do not decode (see ``rejected_events``).
 """
 
@@ -35,10 +35,11 @@ def rejected_log_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def _fields(value_col: str, mode: str):
     parts = F.split(F.col(value_col), r"\|")
     cast = (lambda c, t: c.cast(t)) if mode == "strict" else (lambda c, t: c.try_cast(t))
-    return [cast(F.trim(F.get(parts, 0)), "int").alias("userId"),
-            cast(F.trim(F.get(parts, 1)), "int").alias("productId"),
-            cast(F.trim(F.get(parts, 2)), "double").alias("score"),
-            cast(F.trim(F.get(parts, 3)), "bigint").alias("timestamp")]
+    field = (lambda i: F.element_at(parts, i + 1)) if mode == "strict" else (lambda i: F.get(parts, i))
+    return [cast(F.trim(field(0)), "int").alias("userId"),
+            cast(F.trim(field(1)), "int").alias("productId"),
+            cast(F.trim(field(2)), "double").alias("score"),
+            cast(F.trim(field(3)), "bigint").alias("timestamp")]
 
 
 def parse_rating_events(records: DataFrame, value_col: str = "value", mode: str = "strict") -> DataFrame:

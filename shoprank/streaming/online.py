@@ -13,6 +13,9 @@ tables partitioned by ``batch_id`` under ``base``:
 * ``RecentQueue``: the full recent queue (<= 40) of every user touched by the batch;
 * ``StreamRecs``: the recommendation row of every user of the batch.
 
+Records that do not decode go to ``RejectedEvents`` beside them, partitioned alike; lines
+with the prefix but no usable payload are written by ``start_log_rejects``.
+
 A batch reads state strictly older than itself and overwrites only its own partitions,
 so replaying a batch after a failure writes the same rows again (idempotent) and a
 partially written batch is never read. The current StreamRecs of a user is the row of
@@ -24,18 +27,18 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoprank.operators import maintenance, online
 from shoprank.session import checkpoint_dir
-from shoprank.streaming.logfilter import filter_rating_log, parse_rating_events
+from shoprank.streaming.logfilter import filter_rating_log, parse_rating_events, rejected_events, rejected_log_lines
 
 EVENTS_LOG = "RatingEvents"
 QUEUE_LOG = "RecentQueue"
 RECS_LOG = "StreamRecs"
+REJECTS_LOG = "RejectedEvents"
 
 
 def read_text_stream(spark: SparkSession, path: str, fmt: str = "text",
@@ -60,12 +63,24 @@ def _trigger(writer, trigger: str | None):
 
 
 def start_log_filter(lines: DataFrame, out_path: str, checkpoint: str | None = None,
-                     trigger: str | None = "2 seconds", fmt: str = "parquet") -> StreamingQuery:
-    """Stateless log filter: lines -> (key, value) rating records, appended to a sink."""
-    spark = lines.sparkSession
-    records = filter_rating_log(lines)
-    writer = (records.writeStream.format(fmt).outputMode("append")
-              .option("checkpointLocation", _checkpoint(spark, "log_filter", checkpoint)))
+                     trigger: str | None = "2 seconds", fmt: str = "parquet",
+                     options: dict[str, str] | None = None) -> StreamingQuery:
+    """Stateless log filter: lines -> (key, value) rating records, appended to a sink.
+    ``options`` go to the sink (for Kafka its servers and topic)."""
+    return _append(filter_rating_log(lines), "log_filter", out_path, checkpoint, trigger, fmt, options)
+
+
+def start_log_rejects(lines: DataFrame, out_path: str, checkpoint: str | None = None,
+                      trigger: str | None = "2 seconds", fmt: str = "parquet",
+                      options: dict[str, str] | None = None) -> StreamingQuery:
+    """The lines that ``start_log_filter`` cannot use though they hold the prefix."""
+    return _append(rejected_log_lines(lines), "log_rejects", out_path, checkpoint, trigger, fmt, options)
+
+
+def _append(frame: DataFrame, name: str, out_path: str, checkpoint: str | None, trigger: str | None,
+            fmt: str, options: dict[str, str] | None) -> StreamingQuery:
+    writer = (frame.writeStream.format(fmt).outputMode("append").options(**(options or {}))
+              .option("checkpointLocation", _checkpoint(frame.sparkSession, name, checkpoint)))
     if fmt != "kafka":
         writer = writer.option("path", out_path)
     return _trigger(writer, trigger).start()
@@ -80,11 +95,10 @@ def _log_path(base: str, name: str) -> str:
 def _read_log(spark: SparkSession, base: str, name: str, schema: str, before: int) -> DataFrame:
     """State rows written by batches before ``before`` (empty before the first write)."""
     full = f"{schema}, batch_id bigint"
-    try:
-        df = spark.read.schema(full).parquet(_log_path(base, name))
-    except AnalysisException:  # no batch has written this table yet
+    path = spark._jvm.org.apache.hadoop.fs.Path(_log_path(base, name))
+    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
         return spark.createDataFrame([], full)
-    return df.where(F.col("batch_id") < before)
+    return spark.read.schema(full).parquet(_log_path(base, name)).where(F.col("batch_id") < before)
 
 
 def _latest_per_user(df: DataFrame) -> DataFrame:
@@ -103,10 +117,16 @@ def current_stream_recs(spark: SparkSession, base: str) -> DataFrame:
     return _latest_per_user(recs).drop("batch_id")
 
 
+def rejected_records(spark: SparkSession, base: str) -> DataFrame:
+    """Records of all batches that did not decode."""
+    return _read_log(spark, base, REJECTS_LOG, "value string", 2 ** 62)
+
+
 def process_batch(batch: DataFrame, batch_id: int, base: str, ratings: DataFrame, sims_path: str,
                   penalty: str = "as_written") -> None:
     """One micro-batch: decode, score, write state and StreamRecs partitions."""
     spark = batch.sparkSession
+    _write_partition(rejected_events(batch), base, REJECTS_LOG, batch_id)
     events = (parse_rating_events(batch, mode="permissive")
               .withColumn("seq", F.monotonically_increasing_id()))
     events = events.persist()

@@ -36,6 +36,14 @@ def test_read_ratings(spark, tmp_dir):
     p = write(os.path.join(tmp_dir, "r.txt"), ["4867,457976,5,1395676800", "1,2,3.5,1395676800000", "7,8"])
     got = sorted(map(tuple, files.read_ratings(spark, p, mode="permissive").collect()))
     assert got == [(1, 2, 3.5, 1395676800), (4867, 457976, 5.0, 1395676800)]
+    assert [r.value for r in files.rejected_ratings(spark, p).collect()] == ["7,8"]
+
+
+@pytest.mark.parametrize("read, line", [(files.read_ratings, "7,8"), (files.read_products, "5^n^c^v")])
+def test_short_lines_fail_in_strict_mode(spark, tmp_dir, read, line):
+    p = write(os.path.join(tmp_dir, "short.txt"), [line])
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read(spark, p).collect()
 
 
 def test_tables_roundtrip(spark, tmp_dir):
@@ -57,3 +65,9 @@ def test_log_lines(spark):
     assert [tuple(r) for r in ok] == [(1, 2, 4.0, 9)]
     assert logfilter.rejected_events(recs).count() == 1
     assert logfilter.rejected_log_lines(lines).count() == 1
+
+
+def test_short_events_fail_in_strict_mode(spark):
+    recs = spark.createDataFrame([("1|2|4.0",)], "value string")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        logfilter.parse_rating_events(recs).collect()

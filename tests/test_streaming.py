@@ -30,6 +30,10 @@ def test_log_filter_stream_equals_static(spark, tmp_dir):
     static = filter_rating_log(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert got == sorted(tuple(r) for r in static.collect()) == [("logProcessor", "1|2|4.0|10"),
                                                                   ("logProcessor", "3|4|1.0|11")]
+    bad = os.path.join(tmp_dir, "bad")
+    stream.start_log_rejects(stream.read_text_stream(spark, src), bad, checkpoint=os.path.join(tmp_dir, "ck-bad"),
+                             trigger="availableNow").awaitTermination()
+    assert [r.value for r in spark.read.parquet(bad).collect()] == ["PRODUCT_RATING_PREFIX:"]
 
 
 def _setup(spark, tmp_dir):
@@ -70,8 +74,9 @@ def test_recommender_stream_two_batches(spark, tmp_dir):
     assert first == static1 and first[1] != []
 
     # second batch: user 1 rates product 4; product 3 (rated in batch 1) must not come back
-    write_lines(src, "2.txt", ["1|4|3.0|200"])
+    write_lines(src, "2.txt", ["1|4|3.0|200", "garbage", "1|4"])
     run()
+    assert sorted(r.value for r in stream.rejected_records(spark, base).collect()) == ["1|4", "garbage"]
     second = _as_dict(stream.current_stream_recs(spark, base))
     assert second[2] == first[2]  # untouched user keeps the batch-1 row
     assert all(p not in (1, 2, 3, 4) for p, _ in second[1])
