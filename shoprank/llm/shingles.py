@@ -11,7 +11,7 @@ import numpy as np
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 BASE = 0x9E3779B97F4A7C15 | 1
-BYTES_PER_CHUNK = 2_000_000
+BYTES_PER_CHUNK = 500_000
 
 _rng = np.random.default_rng(20240607)
 BYTE_VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
