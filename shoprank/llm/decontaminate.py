@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from shoprank.session import materialise
 
 from .common import Bloom, bloom_of
-from .shingles import LOWER, mix, powers, prefix_hash
+from .shingles import BYTES_PER_CHUNK, LOWER, mix, powers, prefix_hash
 
 WIDTH = 8
 MIN_ITEM = 5
@@ -131,7 +131,7 @@ def _item_windows(width: int):
     return run
 
 
-def _document_windows(bloom: Bloom, widths: list[int], limit: int = 2_000_000):
+def _document_windows(bloom: Bloom, widths: list[int], limit: int = BYTES_PER_CHUNK):
     def batches(frame):
         size, lo = 0, 0
         for k, text in enumerate(frame["text"]):
