@@ -10,9 +10,16 @@ equal values in the item stand for equal values in the document, and different o
 different ones. So verbatim copies are found, and questions with other numbers, names and
 units as well.
 
-Null texts are empty and match nothing. Items of fewer than ``MIN_ITEM`` words are not
-searched. Rows equal in id and text count once; null ids are carried along; other columns
-are ignored; empty tables give no rows.
+Windows of which more than half the words are slots say nothing as templates. So every window
+is also hashed by its literal lower-cased words, slots by value; items and windows of any
+share of slots are found this way when their words are copied. Items of fewer than
+``MIN_ITEM`` words are looked for by their literal words only, as a whole: one of a single
+word is leaked by every text with that word. In scripts without spaces (Chinese, Japanese,
+Thai, Lao, Burmese, Khmer) each character is a word, so windows are character n-grams.
+
+Null texts are empty and match nothing. Items without a word are not searched. Rows equal in
+id and text count once; null ids are carried along; other columns are ignored; empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -41,6 +48,10 @@ UNITS = ("mm cm m km in ft yd mi mg g kg t lb oz ml l s ms min h hr hrs day days
 
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (11, 12, 13))
 
+#: Parts the hashes of literal windows from those of canonical ones.
+LITERAL = 1 << 32
+
+#: Empty slots are those of a literal window: the item's own.
 WINDOWS = "place int, width int, hash long, slots binary"
 
 
@@ -53,8 +64,21 @@ def _word_hash(words) -> np.ndarray:
     return mix(np.array(out, np.uint64))
 
 
-def canonical(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(canonical word, slot value or 0, text number) of every word of the texts."""
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, byte after) of the characters of scripts without spaces, and the first
+    bytes of their punctuation."""
+    lead = np.flatnonzero(data >= 0xE0)
+    lead = lead[lead + 2 < len(data)]
+    one, two, three = data[lead], data[lead + 1], data[lead + 2]
+    mark = ((one == 0xE3) & (two == 0x80)) | ((one == 0xEF) & (two == 0xBC) & ((three <= 0x8F) | ((three >= 0x9A) & (three <= 0xA0))))
+    alone = (((one == 0xE0) & (two >= 0xB8) & (two <= 0xBB)) | ((one == 0xE1) & ((two <= 0x82) | (two == 0x9E) | (two == 0x9F)))
+             | ((one == 0xE3) & (two >= 0x81)) | ((one >= 0xE4) & (one <= 0xE9)) | ((one == 0xEF) & (two >= 0xA4) & (two <= 0xAB))
+             | ((one == 0xF0) & (two >= 0xA0) & (two <= 0xBF)))
+    return lead[alone], lead[alone] + np.where(one[alone] == 0xF0, 4, 3), lead[mark]
+
+
+def canonical(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(canonical word, slot value or 0, text number, literal word) of every word of the texts."""
     parts, low = [], []
     for text in texts:
         raw = (text or "").encode("utf-8", "surrogatepass")
@@ -63,15 +87,20 @@ def canonical(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         low.append((lower if len(lower) == len(raw) else raw.translate(LOWER)) + b"\n")
     data, lowered = (np.frombuffer(b"".join(x), np.uint8) for x in (parts, low))
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     ends_at = np.cumsum([len(p) for p in parts])
     digit = (data >= 48) & (data <= 57)
     inner = np.zeros(len(data), bool)  # a point or comma inside a number
     inner[1:-1] = ((data[1:-1] == 46) | (data[1:-1] == 44)) & digit[:-2] & digit[2:]
     letter = ((data >= 65) & (data <= 90)) | ((data >= 97) & (data <= 122)) | (data >= 128)
     kind = letter.astype(np.int8) + 2 * (digit | inner)
+    alone, behind, marks = _unspaced(data)
+    for k in range(3):
+        kind[marks + k] = 0
     change = np.ones(len(data), bool)
     change[1:] = kind[1:] != kind[:-1]
+    change[alone] = True
+    change[behind[behind < len(data)]] = True
     starts = np.flatnonzero(change & (kind > 0))
     edges = np.flatnonzero(change)
     stops = np.r_[edges, len(data)][np.searchsorted(edges, starts) + 1]
@@ -92,23 +121,24 @@ def canonical(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     name = upper & inside & ~number & ~unit
     slot = number | unit | name
     out = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, words)))
-    return out, np.where(slot, words, np.uint64(0)), owner
+    return out, np.where(slot, words, np.uint64(0)), owner, words
 
 
 SENTENCE_END = np.frombuffer(b".!?:;\n\r\"()[]{}>|*#-\x0b\x0c", np.uint8)
 UNIT_HASHES = _word_hash(UNITS)
 
 
-def windows(words, slots, owner, width: int):
-    """(first word, hash) of the windows of ``width`` words with enough plain words."""
+def windows(words, slots, owner, width: int, literal: bool = False):
+    """(first word, hash) of the windows of ``width`` canonical words with enough plain ones,
+    or of all windows of literal words."""
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    total = np.full(n, np.uint64(width))
+    total = np.full(n, np.uint64(width + LITERAL * literal))
     for i in range(width):
         total += words[i:i + n] * np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64))
     filled = np.concatenate(([0], np.cumsum(slots != 0)))
-    good = (owner[:n] == owner[width - 1:]) & ((filled[width:] - filled[:-width]) * 2 <= width)
+    good = (owner[:n] == owner[width - 1:]) & (literal | ((filled[width:] - filled[:-width]) * 2 <= width))
     at = np.flatnonzero(good)
     return at, mix(total[at])
 
@@ -118,13 +148,16 @@ def _item_windows(width: int):
         for frame in frames:
             rows = []
             for item, text in zip(frame["item_id"], frame["text"]):
-                words, slots, owner = canonical([text])
+                words, slots, owner, plain = canonical([text])
                 own = min(width, len(words))
-                if own < MIN_ITEM:
+                if not own:
                     continue
-                at, h = windows(words, slots, owner, own)
-                for place, x in zip(at, h):
-                    rows.append((item, len(words), place, own, x.astype(np.int64), slots[place:place + own].tobytes()))
+                found = [windows(plain, slots, owner, own, True)]
+                if own >= MIN_ITEM:
+                    found.append(windows(words, slots, owner, own))
+                for at, h in found:
+                    for place, x in zip(at, h):
+                        rows.append((item, len(words), place, own, x.astype(np.int64), slots[place:place + own].tobytes()))
             out = pd.DataFrame(rows, columns=["item_id", "n_words", "place", "width", "hash", "slots"])
             yield out.assign(item_id=out["item_id"].astype("Int64"))
 
@@ -145,17 +178,20 @@ def _document_windows(bloom: Bloom, widths: list[int], limit: int = BYTES_PER_CH
     def run(frames):
         for frame in frames:
             for part in batches(frame):
-                words, slots, owner = canonical(part["text"])
+                words, slots, owner, plain = canonical(part["text"])
                 first = np.searchsorted(owner, np.arange(len(part)))
                 out = []
-                for width in widths:
-                    at, h = windows(words, slots, owner, width)
+                for width, literal in [(w, x) for w in widths for x in (True, False) if x or w >= MIN_ITEM]:
+                    at, h = windows(plain if literal else words, slots, owner, width, literal)
                     hit = bloom.has(h)
                     at, h = at[hit], h[hit]
+                    if width < MIN_ITEM:  # a whole item: once a text will do
+                        once = np.unique(np.stack([owner[at], h.view(np.int64)]), axis=1, return_index=True)[1]
+                        at, h = at[once], h[once]
                     out.append(pd.DataFrame({
                         "doc_id": part["doc_id"].iloc[owner[at]].astype("Int64").to_numpy(), "key": part["key"].to_numpy()[owner[at]],
                         "place": at - first[owner[at]], "width": width, "hash": h.view(np.int64),
-                        "slots": [slots[a:a + width].tobytes() for a in at]}))
+                        "slots": [b"" if literal else slots[a:a + width].tobytes() for a in at]}))
                 yield pd.concat(out)
 
     return run
@@ -174,7 +210,7 @@ def _judge(min_run: int):
                     at, width = hit["at"], hit["width"]
                     covered[at:at + width] = True
                     own[at:at + width] = np.frombuffer(hit["item_slots"], np.uint64)
-                    theirs[at:at + width] = np.frombuffer(hit["doc_slots"], np.uint64)
+                    theirs[at:at + width] = np.frombuffer(hit["doc_slots"] or hit["item_slots"], np.uint64)
                 edges = np.flatnonzero(np.diff(np.r_[0, covered.astype(np.int8), 0]))
                 lo, hi = max(zip(edges[::2], edges[1::2]), key=lambda x: x[1] - x[0])
                 if hi - lo < min(min_run, n_words):

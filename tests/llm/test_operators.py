@@ -187,6 +187,17 @@ def test_reparameterised_leaks(spark):
     assert found >= {(1, 1, False), (2, 1, True)} and not {d for d, _, _ in found} & {3, 4, 5, 6}
 
 
+def test_verbatim_leaks_of_slots_short_items_and_unspaced_scripts(spark):
+    items = ["What is 12 + 30 - 7?", "Compute 3 * 4 + 12 - 5 * 6 + 7 modulo 11.", "HOW MANY LEGS DO THREE SPIDERS AND TWO BEETLES HAVE IN ALL?",
+             "Ann, Bob, Carl, Dora and Emil bought 5, 7, 9, 11 and 13 apples. How many is that?", "Who wrote Hamlet?", "小明有五个苹果，他给了小红两个，还剩几个？",
+             "The Old Man Of The Sea Went To See His Brother In The North", "ใครเขียนแฮมเล็ต"]
+    docs = [f"Some words come first, then {x} And more words follow after it." for x in items] + [items[6].lower(), "我们知道" + items[5].replace("，", " ") + "没有人知道。"]
+    clean = ["What is 13 + 30 - 7?", "Compute 3 * 4 + 12 - 5 * 6 + 8 modulo 12.", "Who wrote the play Hamlet?", "小明有三个苹果，小红没有。", None, ""]
+    rows = list(enumerate(docs + clean))
+    found = leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(k, k) for k in range(len(items))} | {(8, 6), (9, 5)}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_components(none).count() == 0
