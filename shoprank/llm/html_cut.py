@@ -8,7 +8,9 @@ together. The minimum cut, found by augmenting paths, parts content from boilerp
 
 Scripts, styles, markup, comments, forms and hidden parts never become blocks. Character
 references are decoded, white space in a block becomes one space, and content blocks are
-joined by one space in page order. Null and empty pages give an empty text. Repeated rows
+joined by one space in page order. A form around an article or around parts of a page loses
+its controls and labels only. Bad names at or above an outermost <main>, or at or above an
+outermost <article> of a page without clean ones, do not count. Null and empty pages give an empty text. Repeated rows
 are worked on each; other columns are ignored; an empty table gives no rows.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Elements by their role in a page.
-SKIPPED = frozenset("script style noscript template svg math iframe object head title select textarea button form".split())
+SKIPPED = frozenset("script style noscript template svg math iframe object head title select textarea button".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,30 +42,54 @@ GOOD_WORDS = re.compile(r"(?:^|[^a-z])(?:article\w*|content|main|body|post|story
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Tokens that tell of the page's state or layout, not of what the element holds.
+STATE = re.compile(r"(?:has|have|no|with|without|is|show|hide)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off|active|visible)")
+IDS = re.compile(r"(?:^|\s)id\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+#: Bad words that are no subject of a section of an article.
+CLEAR = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|comments?|disqus|side-?bar|widget\w*|newsletter|subscri\w*|login|signup|pager|pagination)(?:[^a-z]|$)")
+FORM_END = re.compile(r"</form\s*>", re.I)
+#: Elements that make a form around them a wrapper of the page.
+WRAPPED = re.compile(r"<(?:article|main|h1|header|footer|nav|aside)[\s>/]", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 #: Weights of the classifier; a positive score speaks for content.
 BIAS, LONG, LINKED, ENDS, GOOD, BAD, HEADING, OUTSIDE = 0.2, 0.5, 3.5, 0.6, 4.0, 6.0, 0.8, 3.0
+#: For a section of an article of which only the id is bad: long paragraphs stay.
+WEAK = 5.5
 #: Capacities of the edges between neighbours, and between blocks with a near common ancestor.
 NEXT, NEAR = 0.5, 0.4
 
 
 class Block:
-    __slots__ = ("parts", "linked", "path", "good", "bad", "heading", "text", "chars")
+    __slots__ = ("parts", "linked", "path", "good", "bad", "heading", "under", "weak", "text", "chars")
 
-    def __init__(self, path, good, bad, heading):
+    def __init__(self, path, good, bad, heading, under, weak):
         self.parts, self.linked = [], 0
         self.path, self.good, self.bad, self.heading = path, good, bad, heading
+        self.under, self.weak = under, weak
+
+
+def bad_name(tag: str, named: str) -> bool:
+    """A bad word in the names; those of an article must be one as a whole."""
+    tokens = [x for x in named.split() if not STATE.fullmatch(x)]
+    if tag in CONTENT:
+        return tag == "article" and any(BAD_WORDS.fullmatch(x) for x in tokens)
+    return bool(BAD_WORDS.search(" ".join(tokens)))
+
+
+def named_of(rest: str) -> str:
+    return " ".join(a or b or c for a, b, c in NAMED.findall(rest)).lower()
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, int, int, int]] = []  # tag, element number, good, bad, skipped
+    # tag, element number, good, bad, skipped, bad names at or above an outermost article, weak
+    stack: list[tuple[str, int, int, int, int, int, bool]] = []
     current, links, number, at = None, 0, 0, 0
 
     def state():
-        return stack[-1] if stack else ("", 0, 0, 0, 0)
+        return stack[-1] if stack else ("", 0, 0, 0, 0, 0, False)
 
     def text(raw: str):
         nonlocal current
@@ -73,8 +99,8 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if not raw.strip():
                 return
-            _, _, good, bad, _ = state()
-            current = Block(tuple(e[1] for e in stack), good, bad, any(e[0] in HEADINGS for e in stack))
+            _, _, good, bad, _, under, weak = state()
+            current = Block(tuple(e[1] for e in stack), good, bad, any(e[0] in HEADINGS for e in stack), under, weak)
             out.append(current)
         current.parts.append(raw)
         if links:
@@ -111,22 +137,37 @@ def blocks_of(page: str) -> list[Block]:
         number += 1
         if tag in VOID or rest.endswith("/"):
             continue
-        _, _, good, bad, skipped = state()
-        named = " ".join(a or b or c for a, b, c in NAMED.findall(rest)).lower()
-        skipped = skipped or tag in SKIPPED or bool(HIDDEN.search(rest))
+        _, _, good, bad, skipped, under, weak = state()
+        named = named_of(rest)
+        in_form = any(e[0] == "form" for e in stack)
+        skipped = skipped or tag in SKIPPED or (in_form and tag in ("label", "legend")) or bool(HIDDEN.search(rest))
+        if tag == "form":
+            end = FORM_END.search(page, at)
+            skipped = skipped or not WRAPPED.search(page, at, end.start() if end else len(page))
         in_article = any(e[0] in CONTENT for e in stack)
-        if tag in BOILERPLATE or (tag == "header" and not in_article) or (named and tag not in ("html", "body") and BAD_WORDS.search(named)):
+        named_bad = bool(named) and tag not in ("html", "body") and bad_name(tag, named)
+        if tag in CONTENT:
+            bad += named_bad
+            if not in_article and not any(e[0] in BOILERPLATE for e in stack):
+                under, bad = (0, 0) if tag == "main" else (bad, bad)
+            good = 0 if bad else 1 if weak else 2
+        elif named_bad and tag == "section" and good == 2 and not bad and not CLEAR.search(named) and not bad_name(tag, named_of(IDS.sub(" ", rest))):
+            good, weak = 1, True
+        elif tag in BOILERPLATE or (tag == "header" and not in_article) or named_bad:
             good, bad = 0, bad + 1
-        elif tag in CONTENT:
-            good = 0 if bad else 2
         elif named and not bad and not good and tag not in ("html", "body") and GOOD_WORDS.search(named):
             good = 1
         if tag in ("script", "style", "textarea", "title"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        stack.append((tag, number, good, bad, int(skipped)))
+        stack.append((tag, number, good, bad, int(skipped), under, weak))
         links += tag == "a"
+    if not any(b.good == 2 for b in out):
+        for block in out:
+            if block.under:
+                block.bad -= block.under
+                block.good = 0 if block.bad else 2
     for block in out:
         block.text = " ".join("".join(block.parts).split())
         block.chars = max(1, len(block.text))
@@ -138,7 +179,7 @@ def score(block: Block, marked: bool) -> float:
     link_share = min(1.0, block.linked / block.chars)
     out = BIAS + LONG * (math.log(block.chars) - 3.5) - LINKED * link_share
     out += ENDS * (block.text[-1] in ".!?:;\"'”…") + HEADING * block.heading * (not block.bad)
-    out += GOOD * block.good - BAD * block.bad
+    out += GOOD * block.good - BAD * block.bad - WEAK * block.weak
     if marked and not block.good:
         out -= OUTSIDE
     return out

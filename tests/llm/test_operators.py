@@ -187,6 +187,21 @@ def test_reparameterised_leaks(spark):
     assert found >= {(1, 1, False), (2, 1, True)} and not {d for d, _, _ in found} & {3, 4, 5, 6}
 
 
+def test_bad_names_around_an_article_do_not_cost_it():
+    long = "It is a paragraph of the article, and all of it is to be read. " * 8
+    want = long.strip()
+    side = '<div class="sidebar"><p>Other things to read on this site.</p></div>'
+    for page in ('<div class="layout has-sidebar"><article><p>%s</p></article></div>', '<article class="post comments-open"><p>%s</p></article>',
+                 '<div class="layout no-sidebar"><main><p>%s</p></main></div>', '<div class="widget-layout"><article><p>%s</p></article></div>',
+                 '<div class="promo"><main class="search"><p>%s</p></main></div>', '<article class="post tag-search"><p>%s</p></article>',
+                 '<form id="aspnetForm"><label>Find</label><select><option>A</option></select><article><p>%s</p></article></form>',
+                 '<article><section id="responses"><p>%s</p></section></article>', '<article><section id="discussion"><p>%s</p></section></article>',
+                 '<article><p>%s</p></article><div class="related"><article><p>Another story.</p></article></div>',
+                 '<article><p>%s</p><section class="comments"><article><p>I like this very much.</p></article></section></article>',
+                 '<article><p>%s</p><section id="comments"><article><p>I like this very much.</p></article></section></article>'):
+        assert main_text(page % long + side)[0] == want, page
+
+
 def test_verbatim_leaks_of_slots_short_items_and_unspaced_scripts(spark):
     items = ["What is 12 + 30 - 7?", "Compute 3 * 4 + 12 - 5 * 6 + 7 modulo 11.", "HOW MANY LEGS DO THREE SPIDERS AND TWO BEETLES HAVE IN ALL?",
              "Ann, Bob, Carl, Dora and Emil bought 5, 7, 9, 11 and 13 apples. How many is that?", "Who wrote Hamlet?", "小明有五个苹果，他给了小红两个，还剩几个？",
