@@ -13,14 +13,17 @@ from shoprank.session import checkpoint_dir
 from .chat import chains, conversations_of, digests
 from .common import read
 from .decontaminate import leaks
+from .fingerprints import edited_fingerprints
 from .html_cut import extract
 from .jaccard import jaccard_components
 from .licences import licences
+from .merkle import manifest
 from .packing import pack
 from .quality import STOP_FORMS, quality_report
 from .sharding import shard
 from .suffix_dedup import remove_repeats
 from .warc import read_archive, write_archive
+from .whitening import whiten
 
 #: Vocabulary of the packing query; any path that all executors can read will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -83,9 +86,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read(spark, sf_dir, "documents"))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likeness; null texts
+    are empty, rows that repeat an id are rows of their own."""
+    return edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof digest of every document, and whether the folded proof holds after
+    tampering; null fields are hashed as ``-``, rows of null id are never tampered with."""
+    return manifest(read(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings, up to 8 components a row; rows with a null or non-finite entry are
+    left out."""
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_min_cut, op2_licence_scan, op3_chat_format, op4_warc, op5_decontaminate, op6_lpt_sharding,
-    op7_jaccard_join, op8_best_fit_packing, op9_suffix_dedup, op10_quality_rules)}
+    op7_jaccard_join, op8_best_fit_packing, op9_suffix_dedup, op10_quality_rules,
+    op11_document_fingerprints, op12_merkle_manifest, op13_embedding_whitening)}
 
 _CASE = r"'\### Assistant: </turn> ok'"
 
@@ -130,4 +152,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
   NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 12 * n_words AND 10 * n_symbols <= n_words
   AND 50 * n_stop_words >= n_words AND 2 * n_dup_lines <= n_lines AS kept
 FROM b""".replace("STOP_FORMS", str(STOP_FORMS)),
+    # nodes: all levels of the language trees (t = '=' || lang) and of the tree over their roots
+    # (t = '/'); paths: the leaf, then the node it becomes level by level, with its run
+    "op12_merkle_manifest": rf"""
+WITH RECURSIVE d AS (SELECT *, row_number() OVER () AS r,
+  list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: [CAST(256 + ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 256 THEN xor(crc, x - 256) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END) AS rest
+  FROM documents),
+f AS (SELECT r, doc_id, coalesce('=' || lang, '') AS t, 4294967295 - rest AS crc,
+  coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+  || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+  text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS changed FROM d),
+h AS (SELECT r, doc_id, t, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+  CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) END AS tampered FROM f),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+  count(*) OVER (PARTITION BY t) AS n FROM h),
+low AS (SELECT t, 0 AS level, pos, n, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT t, any_value(level) + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM low WHERE n > 1 GROUP BY t, pos // 8),
+subroots AS (SELECT t, level, hash, row_number() OVER (ORDER BY CAST(t AS BLOB)) - 1 AS place, count(*) OVER () AS n
+  FROM low WHERE n = 1),
+high AS (SELECT '/' AS t, 0 AS level, place AS pos, n, hash FROM subroots
+  UNION ALL
+  SELECT t, any_value(level) + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM high WHERE n > 1 GROUP BY t, pos // 8),
+nodes AS (SELECT * FROM low UNION ALL SELECT * FROM high),
+steps AS (SELECT l.r, g.level AS step, '=' AS part, l.t AS t, g.level, l.pos // CAST(power(8, g.level) AS BIGINT) AS pos
+  FROM leaves l JOIN subroots s USING (t), LATERAL (SELECT unnest(range(s.level)) AS level) g
+  UNION ALL
+  SELECT l.r, s.level + g.level, '/', '/', g.level, s.place // CAST(power(8, g.level) AS BIGINT)
+  FROM leaves l JOIN subroots s USING (t), LATERAL (SELECT unnest(range((SELECT max(level) FROM high))) AS level) g),
+runs AS (SELECT s.r, s.step, coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (n.pos < s.pos), '') AS left_of,
+  coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (n.pos > s.pos), '') AS right_of
+  FROM steps s JOIN nodes n ON n.t = s.t AND n.level = s.level AND n.pos // 8 = s.pos // 8 GROUP BY s.r, s.step),
+proofs AS (SELECT r, count(*) AS steps, sha256(string_agg(left_of || right_of, '' ORDER BY step)) AS proof FROM runs GROUP BY r),
+folds AS (SELECT r, 0 AS step, coalesce(tampered, leaf) AS hash FROM leaves
+  UNION ALL
+  SELECT f.r, f.step + 1, sha256(left_of || hash || right_of) FROM folds f JOIN runs USING (r, step))
+SELECT doc_id, leaf, s.hash AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, f.hash AS folded_root, f.hash = root AS verified
+FROM leaves l JOIN subroots s USING (t), (SELECT hash AS root FROM high WHERE n = 1)
+LEFT JOIN proofs p ON p.r = l.r JOIN folds f ON f.r = l.r AND f.step = coalesce(p.steps, 0)""",
 }
