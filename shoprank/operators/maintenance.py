@@ -57,14 +57,11 @@ def ingest_ratings(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def push_recent(queue: DataFrame, events: DataFrame, size: int = S.RECENT_QUEUE_SIZE) -> DataFrame:
     """Recent queue (userId, pos, productId, score), pos 1 = newest, after pushing the
-    batch ``events`` (userId, productId, score, seq) in seq order."""
-    old = queue.select("userId", "productId", "score", F.lit(0).alias("fresh"),
-                       F.col("pos").cast("bigint").alias("k"))
-    new = events.select("userId", "productId", "score", F.lit(1).alias("fresh"),
-                        F.col("seq").cast("bigint").alias("k"))
-    both = old.unionByName(new)
-    ranked = rank_within(both, "userId", [F.desc("fresh"), F.when(F.col("fresh") == 1, -F.col("k"))
-                                          .otherwise(F.col("k")).asc()], size, rank_col="pos")
+    batch ``events`` (userId, productId, score, seq) in the order of ``seq``, of any type."""
+    old = queue.select("userId", "productId", "score", F.lit(0).alias("fresh"), F.col("pos").alias("was"))
+    new = events.select("userId", "productId", "score", F.lit(1).alias("fresh"), "seq")
+    ranked = rank_within(old.unionByName(new, allowMissingColumns=True), "userId",
+                         [F.desc("fresh"), F.desc("seq"), F.asc("was")], size, rank_col="pos")
     return ranked.select("userId", "pos", "productId", "score")
 
 

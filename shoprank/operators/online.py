@@ -114,15 +114,15 @@ def priority(wsum, n, incr, decr, penalty: str = "as_written") -> F.Column:
 def recommend_batch_flat(events: DataFrame, queue: DataFrame, rated: DataFrame, sims: DataFrame,
                          threshold: float = S.SIMILARITY_THRESHOLD, penalty: str = "as_written",
                          n_candidates: int = S.MAX_SIM_PRODUCTS_NUM,
-                         n_recent: int = S.RECENT_RATINGS_USED) -> DataFrame:
+                         n_recent: int = S.RECENT_RATINGS_USED, pushed: bool = False) -> DataFrame:
     """Flat StreamRecs rows (userId, rank, productId, score) for the users of the batch;
     a user with no scored candidate has one row with NULL rank/product/score.
 
     events: (userId, productId, score, timestamp, seq); queue: recent queue before the
-    batch (userId, pos, productId, score); rated: (userId, productId) stored ratings;
-    sims: (productId, recProductId, score)."""
+    batch (userId, pos, productId, score), or after it if ``pushed``; rated: (userId,
+    productId) stored ratings; sims: (productId, recProductId, score)."""
     last = last_event_per_user(events)
-    recent = recent_ratings(queue, events, n_recent)
+    recent = queue.where(F.col("pos") <= n_recent) if pushed else recent_ratings(queue, events, n_recent)
     rated_all = rated.select("userId", "productId").unionByName(events.select("userId", "productId"))
     rated_users = rated_all.join(last.select("userId"), "userId", "left_semi")
     cands = candidates(last, sims, rated_users, n_candidates)
@@ -134,9 +134,10 @@ def recommend_batch_flat(events: DataFrame, queue: DataFrame, rated: DataFrame,
 
 
 def recommend_batch(events: DataFrame, queue: DataFrame, rated: DataFrame, sims: DataFrame,
-                    threshold: float = S.SIMILARITY_THRESHOLD, penalty: str = "as_written") -> DataFrame:
+                    threshold: float = S.SIMILARITY_THRESHOLD, penalty: str = "as_written",
+                    pushed: bool = False) -> DataFrame:
     """StreamRecs rows (userId, recs) for the users of the batch; recs may be empty."""
-    flat = recommend_batch_flat(events, queue, rated, sims, threshold, penalty)
+    flat = recommend_batch_flat(events, queue, rated, sims, threshold, penalty, pushed=pushed)
     nested = (flat.where(F.col("rank").isNotNull()).groupBy("userId")
               .agg(F.sort_array(F.collect_list(F.struct("rank", F.struct(
                   F.col("productId").cast("int").alias("productId"),

@@ -42,19 +42,26 @@ def _fields(value_col: str, mode: str):
             cast(F.trim(field(3)), "bigint").alias("timestamp")]
 
 
-def parse_rating_events(records: DataFrame, value_col: str = "value", mode: str = "strict") -> DataFrame:
-    """(userId, productId, score, timestamp[s]) from ``u|p|score|epoch`` text."""
+def _undecoded():
+    """Whether a record gives no usable event; a NaN score counts as none."""
+    return (F.col("userId").isNull() | F.col("productId").isNull() | F.col("timestamp").isNull()
+            | F.col("score").isNull() | F.isnan("score"))
+
+
+def parse_rating_events(records: DataFrame, value_col: str = "value", mode: str = "strict",
+                        keep: list[str] | None = None) -> DataFrame:
+    """(userId, productId, score, timestamp[s]) from ``u|p|score|epoch`` text, and the columns
+    ``keep`` of the records as they are."""
     if mode not in ("strict", "permissive"):
         raise ValueError("mode must be 'strict' or 'permissive'")
-    parsed = records.select(*_fields(value_col, mode))
+    parsed = records.select(*_fields(value_col, mode), *(keep or []))
     if mode == "permissive":
-        parsed = parsed.dropna(subset=["userId", "productId", "score", "timestamp"])
+        parsed = parsed.where(~_undecoded())
     return parsed.withColumn("timestamp", normalise_seconds("timestamp"))
 
 
 def rejected_events(records: DataFrame, value_col: str = "value") -> DataFrame:
-    """Records that do not decode to four typed fields."""
+    """Records that ``mode='permissive'`` leaves out: fewer than four fields, a bad number or a
+    score that is not a number."""
     parsed = records.select(F.col(value_col), *_fields(value_col, "permissive"))
-    bad = (F.col("userId").isNull() | F.col("productId").isNull() | F.col("score").isNull()
-           | F.col("timestamp").isNull())
-    return parsed.where(bad).select(value_col)
+    return parsed.where(_undecoded()).select(value_col)
