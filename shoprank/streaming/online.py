@@ -191,11 +191,17 @@ def _write_batch(events: DataFrame, queue: DataFrame, at: At, base: str, ratings
     users = events.select("userId").distinct()
     rated = (ratings.select("userId", "productId").join(users, "userId", "left_semi")
              .unionByName(rated_table(base).rows(spark, at, users)))
-    recs = online.recommend_batch(events, queue, rated, _similarities(spark, sims_path), penalty=penalty, pushed=True)
-    _write_log(events, base, EVENTS_LOG, at)
-    rated_table(base).append(events.select("userId", "productId").distinct(), at)
-    queue_table(base).append(queue, at)
-    recs_table(base).append(recs, at)
+    # the plan of a batch reads both several times: rows of the batch's users, persisted once
+    rated, queue = rated.distinct().persist(), queue.persist()
+    try:
+        _write_log(events, base, EVENTS_LOG, at)
+        rated_table(base).append(events.select("userId", "productId").distinct(), at)
+        queue_table(base).append(queue, at)
+        recs = online.recommend_batch(events, queue, rated, _similarities(spark, sims_path), penalty=penalty, pushed=True)
+        recs_table(base).append(recs, at)
+    finally:
+        rated.unpersist()
+        queue.unpersist()
 
 
 def fold_tables(spark: SparkSession, base: str, before: At) -> None:
