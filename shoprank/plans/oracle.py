@@ -310,3 +310,21 @@ ranked AS (SELECT userId, row_number() OVER (PARTITION BY userId ORDER BY score
                   candidate FROM pri
            WHERE userId IN (SELECT CAST(user_id AS INTEGER) FROM events)),
 """ + _hydrate("ranked", "userId", "candidate")
+
+SQL["factor_top_n"] = """
+WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+s AS (SELECT a.id AS userId, b.id AS productId, round(list_dot_product(a.f, b.f), 6) AS score FROM v a, v b),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS INTEGER) AS rank
+  FROM s WHERE score > 0)
+SELECT userId, productId, score, rank FROM k WHERE rank <= 20"""
+
+SQL["factor_predictions"] = """
+WITH e AS (SELECT event_id, CAST(user_id AS INTEGER) AS userId, CAST(json_extract_string(props, '$.k') AS INTEGER) AS productId FROM events)
+SELECT event_id, userId, productId, round(list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(p.embedding AS DOUBLE[])), 6) AS prediction
+FROM e JOIN embeddings u ON u.vec_id = userId JOIN embeddings p ON p.vec_id = productId"""
+
+SQL["rejected_events"] = """
+SELECT concat_ws('|', user_id, CASE WHEN event_type = 'view' THEN 'view' ELSE json_extract_string(props, '$.k') END,
+  CASE WHEN event_type = 'error' THEN 'NaN' ELSE CAST(CAST(floor(value) AS BIGINT) % 5 + 1 AS VARCHAR) END,
+  CASE WHEN event_type <> 'signup' THEN CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) END) AS value
+FROM events WHERE event_type IN ('view', 'error', 'signup')"""

@@ -227,8 +227,8 @@ def _online_inputs(spark, sf):
 
 @query("recent_ratings")
 def q_recent_ratings(spark, sf):
-    events, queue, _, _ = _online_inputs(spark, sf)
-    return online.recent_ratings(queue, events)
+    queue = maintenance.recent_from_ratings(td.ratings(spark, sf))
+    return online.recent_ratings(queue, _events(spark, sf))
 
 
 @query("stream_candidates")
@@ -320,6 +320,36 @@ def q_als_product_recs(spark, sf):
     return als.product_recommendations(model).withColumn("score", r6("score"))
 
 
+def _factors(spark, sf) -> DataFrame:
+    """Embeddings as latent factors (id, features), so that SQL can check the scoring of
+    factors without a fitted model."""
+    return td.table(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features"))
+
+
+@query("factor_top_n")
+def q_factor_top_n(spark, sf):
+    """Each vector's 20 best others and itself by dot product, as ALS user recommendations are
+    taken from user and item factors."""
+    factors = _factors(spark, sf)
+    return als.factor_top_n(factors, factors, 20, block_rows=512, decimals=6)
+
+
+@query("factor_predictions")
+def q_factor_predictions(spark, sf):
+    """Dot product of factors for every web event's (user, product) pair; unknown ids give none."""
+    ev = td.table(spark, sf, "events").select(F.col("event_id"), F.col("user_id").cast("int").alias("userId"),
+                                              F.get_json_object("props", "$.k").cast("int").alias("productId"))
+    factors = _factors(spark, sf)
+    out = als.predict_pairs(ev, factors, factors)
+    return out.withColumn("prediction", r6("prediction"))
+
+
+@query("rejected_events")
+def q_rejected_events(spark, sf):
+    """Records of all events that do not decode (see ``testdata.raw_records``)."""
+    return logfilter.rejected_events(td.raw_records(spark, sf))
+
+
 @query("als_grid")
 def q_als_grid(spark, sf):
     return als.tune_als(td.ratings(spark, sf))

@@ -72,6 +72,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .otherwise(other).alias("value"))
 
 
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a rating record ``value``; views name no product, errors score
+    NaN and signups have no time, so these do not decode."""
+    ev = _event_fields(table(spark, sf_dir, "events"))
+    product = F.when(F.col("event_type") == "view", F.col("event_type")).otherwise(F.col("productId").cast("string"))
+    score = F.when(F.col("event_type") == "error", F.lit("NaN")).otherwise(F.col("score").cast("int").cast("string"))
+    return ev.select(F.concat_ws("|", F.col("userId").cast("string"), product, score,
+                                 F.when(F.col("event_type") != "signup", F.col("timestamp").cast("string"))).alias("value"))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("int").alias("custkey"), F.col("c_name").alias("username"),
