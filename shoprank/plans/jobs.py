@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from shoprank import schemas as S
 from shoprank.operators import als, content, cooccurrence, stats
-from shoprank.operators.topk import rank_within, to_recs
-from shoprank.sources.files import load_tables, read_products, read_ratings, read_table, write_table
+from shoprank.operators.maintenance import ingest_ratings
+from shoprank.operators.topk import explode_recs, rank_within, to_recs
+from shoprank.sources.files import (load_tables, merge_ratings, read_products, read_ratings, read_table, write_bucketed,
+                                     write_table)
 
 
 def load(spark: SparkSession, products_path: str, ratings_path: str, base: str, mode: str = "strict") -> None:
@@ -39,14 +41,19 @@ def item_cf(spark: SparkSession, base: str, n: int = S.ITEMCF_MAX_RECOMMENDATION
 
 def _write_similarity(ranked: DataFrame, base: str, name: str, nested: bool) -> None:
     """Similarity lists have no size cap (every partner above 0.4), so by default they
-    are written flat, one row per (product, rank), clustered by product; ``nested=True``
-    writes the reference shape (one array per product), whose rows grow with the
-    catalogue."""
+    are written flat, one row per (product, rank), in buckets by product; ``nested=True``
+    writes the reference shape (one array per product) as table ``schemas.nested_name(name)``,
+    whose rows grow with the catalogue."""
     if nested:
-        write_table(to_recs(ranked, "productId", "recProductId", "score", ranked=True), base, name)
+        write_table(to_recs(ranked, "productId", "recProductId", "score", ranked=True), base, S.nested_name(name))
     else:
-        write_table(ranked.repartitionByRange("productId", "rank").sortWithinPartitions("productId", "rank"),
-                    base, name)
+        write_bucketed(ranked, base, name)
+
+
+def ingest(spark: SparkSession, base: str, incoming: DataFrame) -> None:
+    """WR1: rating events (userId, productId, score, timestamp, seq) into the Rating table; user
+    ranges without an event are neither read nor written."""
+    merge_ratings(spark, base, incoming, ingest_ratings)
 
 
 def content_based(spark: SparkSession, base: str, vectoriser: str = "hashing", nested: bool = False) -> None:
@@ -75,9 +82,8 @@ def similarity_pairs(spark: SparkSession, base: str, table: str = S.CONTENT_PROD
     """Flat (productId, rank, recProductId, score) from a similarity table (flat, or
     nested, then rank is the list position), for the online recommender, which reads
     candidates by rank band without re-sorting."""
-    recs = spark.read.parquet(f"{base.rstrip('/')}/{table}")
+    recs = read_table(spark, base, table)
     if "recs" not in recs.columns:
-        return recs.select("productId", "rank", "recProductId", "score")
-    return (recs.select("productId", F.posexplode("recs").alias("pos", "r"))
-            .select("productId", (F.col("pos") + 1).alias("rank"), F.col("r.productId").alias("recProductId"),
-                    F.col("r.score").alias("score")))
+        return recs
+    flat = explode_recs(recs.withColumnRenamed("productId", "ofProduct"), "ofProduct")
+    return flat.select(F.col("ofProduct").alias("productId"), "rank", F.col("productId").alias("recProductId"), "score")

@@ -139,7 +139,9 @@ def _requests(spark, sf) -> DataFrame:
 @query("itemcf_lookup")
 def q_itemcf_lookup(spark, sf):
     r = td.ratings(spark, sf)
-    flat = cooccurrence.itemcf_flat(r).withColumnRenamed("productId", "requestKey")
+    asked = _requests(spark, sf)
+    flat = cooccurrence.itemcf_flat_of(r, asked.select(F.col("requestKey").alias("productId"))).withColumnRenamed(
+        "productId", "requestKey")
     return _hydrated(serving.lookup_flat(_requests(spark, sf), flat, td.products(spark, sf), _averages(r),
                                          "requestKey", "recProductId"))
 

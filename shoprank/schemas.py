@@ -64,6 +64,13 @@ PRODUCT_RECS_SCHEMA = T.StructType([
     T.StructField("recs", RECS, False),
 ])
 
+FLAT_RECS_SCHEMA = T.StructType([
+    T.StructField("productId", T.IntegerType(), False),
+    T.StructField("rank", T.IntegerType(), False),
+    T.StructField("recProductId", T.IntegerType(), False),
+    T.StructField("score", T.DoubleType(), False),
+])
+
 USER_SCHEMA = T.StructType([
     T.StructField("userId", T.IntegerType(), False),
     T.StructField("username", T.StringType(), False),
@@ -89,6 +96,12 @@ AVERAGE_SCHEMA = T.StructType([
     T.StructField("avg", T.DoubleType(), False),
 ])
 
+
+def nested_name(table: str) -> str:
+    """The table that holds the lists of ``table`` in one row per product."""
+    return table + "Nested"
+
+
 TABLE_SCHEMAS = {
     PRODUCT: PRODUCT_SCHEMA,
     RATING: RATING_SCHEMA,
@@ -97,8 +110,16 @@ TABLE_SCHEMAS = {
     RATE_MORE_RECENTLY_PRODUCTS: RATE_MORE_RECENTLY_SCHEMA,
     AVERAGE_PRODUCTS: AVERAGE_SCHEMA,
     USER_RECS: USER_RECS_SCHEMA,
-    PRODUCT_RECS: PRODUCT_RECS_SCHEMA,
+    PRODUCT_RECS: FLAT_RECS_SCHEMA,
+    nested_name(PRODUCT_RECS): PRODUCT_RECS_SCHEMA,
     ITEMCF_PRODUCT_RECS: PRODUCT_RECS_SCHEMA,
-    CONTENT_PRODUCT_RECS: PRODUCT_RECS_SCHEMA,
+    CONTENT_PRODUCT_RECS: FLAT_RECS_SCHEMA,
+    nested_name(CONTENT_PRODUCT_RECS): PRODUCT_RECS_SCHEMA,
     STREAM_RECS: USER_RECS_SCHEMA,
 }
+
+# Flat similarity tables: product and rank of a row, in this many buckets by product.
+FLAT_TABLES = (PRODUCT_RECS, CONTENT_PRODUCT_RECS)
+RECS_BUCKETS = 64
+# Users per partition of the Rating table.
+USERS_PER_RANGE = 10_000

@@ -6,18 +6,23 @@
 * ``read_ratings``: ``userId,productId,score,timestamp`` text, no header; same modes, with
   ``rejected_ratings``.
 * ``read_table`` / ``write_table``: named tables as Parquet directories under a base
-  path with the schema of ``shoprank.schemas`` enforced on read (no inference).
-* ``load_tables``: replace both base tables; the rating table is range-partitioned and
-  sorted by (user, product) so per-user reads (recent ratings, rated sets) touch few files.
+  path with the schema of ``shoprank.schemas``; a table without a declared column fails.
+* ``write_bucketed`` / ``read_bucketed``: flat list tables in buckets by product.
+* ``load_tables``: replace both base tables; ``merge_ratings`` rewrites only the user ranges of
+  the rating table that a batch touches.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoprank import schemas as S
 from shoprank.functions.columns import jvm_trim, normalise_seconds
+from shoprank.sources.partitions import recover_partitions, replace_partitions
 
 
 def _cast(col, type_: str, mode: str):
@@ -94,10 +99,21 @@ def table_path(base: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Named table with its declared schema (no inference)."""
+    """Named table with its declared columns and types; a table without one of them fails."""
+    if name in S.FLAT_TABLES:
+        return read_bucketed(spark, base, name)
     schema = S.TABLE_SCHEMAS.get(name)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(table_path(base, name))
+    stored = spark.read.parquet(table_path(base, name))
+    if schema is None:
+        return stored
+    _require(stored, schema, name)
+    return spark.read.schema(schema).parquet(table_path(base, name)).select(*schema.names)
+
+
+def _require(stored: DataFrame, schema, name: str) -> None:
+    missing = [c for c in schema.names if c not in stored.columns]
+    if missing:
+        raise ValueError(f"table {name} has no column {', '.join(missing)}")
 
 
 def write_table(df: DataFrame, base: str, name: str, partition_by: list[str] | None = None) -> None:
@@ -108,16 +124,82 @@ def write_table(df: DataFrame, base: str, name: str, partition_by: list[str] | N
     writer.parquet(table_path(base, name))
 
 
+# ------------------------------------------------------------------ bucketed tables
+
+def _bucketed_path(base: str, name: str, buckets: int) -> str:
+    # the number of buckets is part of the path, so files are never read by a wrong number
+    return f"{table_path(base, name)}.buckets-{buckets}"
+
+
+def _catalog_name(path: str, name: str) -> str:
+    return f"{name}_{zlib.crc32(path.encode()):08x}".lower()
+
+
+def write_bucketed(df: DataFrame, base: str, name: str, buckets: int = S.RECS_BUCKETS) -> None:
+    """Overwrite a flat list table (productId, rank, recProductId, score), bucketed by product
+    and sorted by (product, rank), so that joins on the product read it without a shuffle and
+    a list comes in its order. A bucket may have a file from each task; products are dealt to
+    tasks by bucket here, so it has one."""
+    path = _bucketed_path(base, name, buckets)
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.FLAT_RECS_SCHEMA])
+    (rows.repartition(buckets, "productId").write.mode("overwrite").bucketBy(buckets, "productId").sortBy("productId", "rank")
+     .option("path", path).format("parquet").saveAsTable(_catalog_name(path, name)))
+
+
+def read_bucketed(spark: SparkSession, base: str, name: str, buckets: int = S.RECS_BUCKETS) -> DataFrame:
+    """The bucketed table at ``base``, whichever session wrote it: it is declared to this session's
+    catalog with its buckets."""
+    path = _bucketed_path(base, name, buckets)
+    _require(spark.read.parquet(path), S.FLAT_RECS_SCHEMA, name)
+    own = _catalog_name(path, name)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.FLAT_RECS_SCHEMA)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {own} ({columns}) USING parquet CLUSTERED BY (productId) "
+              f"SORTED BY (productId, rank) INTO {buckets} BUCKETS LOCATION '{path}'")
+    spark.catalog.refreshTable(own)
+    return spark.table(own)
+
+
+# ------------------------------------------------------------------ ratings by user range
+
+RANGE = "userRange"
+
+
+def user_range(user: str = "userId"):
+    return F.floor(F.col(user) / S.USERS_PER_RANGE).cast("int")
+
+
+def write_ratings(ratings: DataFrame, base: str, files: int | None = None) -> None:
+    """Replace the Rating table: partitions by user range, files sorted on (userId, productId),
+    the file-layout form of the reference's indexes. Per-user reads prune partitions and, by
+    min/max statistics, files; a user holding a large share spans several files."""
+    parts = files or ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    (ratings.select(*S.RATING_SCHEMA.names).withColumn(RANGE, user_range())
+     .repartitionByRange(int(parts), "userId", "productId").sortWithinPartitions(RANGE, "userId", "productId")
+     .write.mode("overwrite").partitionBy(RANGE).parquet(table_path(base, S.RATING)))
+
+
+def merge_ratings(spark: SparkSession, base: str, incoming: DataFrame, merge) -> None:
+    """Rewrite the user ranges of the Rating table that ``incoming`` (userId, ...) touches, as
+    ``merge(stored rows of these ranges, incoming)``; the files of all others stay as they are.
+    A driver that dies while ranges are replaced leaves them to ``recover_partitions``, with which
+    the next merge begins."""
+    path = table_path(base, S.RATING)
+    recover_partitions(spark, path, [RANGE])
+    touched = [r[0] for r in incoming.select(user_range()).distinct().collect()]  # one number per range of the batch
+    if not touched:
+        return
+    stored = spark.read.schema(T.StructType([*S.RATING_SCHEMA, T.StructField(RANGE, T.IntegerType())])).parquet(path)
+    merged = merge(stored.where(F.col(RANGE).isin(touched)).drop(RANGE), incoming)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    replace_partitions(merged.select(*S.RATING_SCHEMA.names).withColumn(RANGE, user_range())
+                       .repartitionByRange(n, "userId", "productId").sortWithinPartitions(RANGE, "userId", "productId"), path, [RANGE])
+
+
 def load_tables(products: DataFrame, ratings: DataFrame, base: str, rating_files: int | None = None) -> None:
-    """Replace the Product and Rating tables. Products are clustered by id; ratings are
-    range-partitioned and sorted on (userId, productId), the file-layout form of the
-    reference's indexes: per-user reads prune files by min/max statistics, and a user
-    holding a large share of the ratings spans several files instead of one."""
+    """Replace the Product table, clustered by id, and the Rating table (``write_ratings``)."""
     (products.repartitionByRange("productId").sortWithinPartitions("productId")
      .write.mode("overwrite").parquet(table_path(base, S.PRODUCT)))
-    parts = rating_files or ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    (ratings.repartitionByRange(int(parts), "userId", "productId").sortWithinPartitions("userId", "productId")
-     .write.mode("overwrite").parquet(table_path(base, S.RATING)))
+    write_ratings(ratings, base, rating_files)
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

@@ -38,9 +38,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoprank.operators import maintenance, online
 from shoprank.session import checkpoint_dir, materialise
+from shoprank.sources.partitions import path_exists
 from shoprank.streaming import state
 from shoprank.streaming.logfilter import filter_rating_log, parse_rating_events, rejected_events, rejected_log_lines
-from shoprank.streaming.tables import At, StateTable, epoch_of, path_exists
+from shoprank.streaming.tables import At, StateTable, epoch_of
 
 EVENTS_LOG = "RatingEvents"
 REJECTS_LOG = "RejectedEvents"

@@ -8,17 +8,12 @@ strictly older than a given batch: in a ``replace`` table the newest batch of a
 for all its older rows, otherwise rows are a set.
 
 ``fold`` merges the log into the live table, which holds one set of rows per user in
-``bucket`` partitions. Only the buckets that the log touches are read and written. The merged
-buckets are written to ``pending`` first, then moved over the old ones by dynamic partition
-overwrite, then the folded log partitions and ``pending`` go. A driver that dies on the way
-leaves either no complete ``pending`` (nothing has happened) or a complete one, which
-``recover`` applies again; log partitions that are folded twice give the same rows. So what a
-batch reads is the live rows of its users' buckets and at most as many log partitions as
-there are batches between two folds, however long the stream has run.
-
-There is one writer, the streaming query. A reader that listed a bucket's files just before
-a fold replaced them has to read again, as with any overwritten Parquet folder. Folder
-tests and deletes go through Hadoop's file system of the classic session.
+``bucket`` partitions. Only the buckets that the log touches are read and written
+(``sources.partitions.replace_partitions``), then the folded log partitions go. If the driver
+dies on the way, ``recover`` applies merged buckets that are complete, and log partitions that
+are folded twice give the same rows. So what a batch reads is the live rows of its users'
+buckets and at most as many log partitions as there are batches between two folds, however
+long the stream has run. There is one writer, the streaming query.
 """
 
 from __future__ import annotations
@@ -28,37 +23,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoprank.sources.partitions import delete_path, path_exists, recover_partitions, replace_partitions
+
 #: Buckets of a live table. Fixed for a base folder: rows are found by it.
 BUCKETS = 64
 
 At = tuple[int, int]  # (epoch, batch_id)
 
 
-def _file_system(spark: SparkSession, path: str):
-    own = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return own, own.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    own, fs = _file_system(spark, path)
-    return fs.exists(own)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    own, fs = _file_system(spark, path)
-    fs.delete(own, True)
-
-
 def bucket_of(user: str = "userId", buckets: int = BUCKETS):
     return F.pmod(F.xxhash64(user), F.lit(buckets)).cast("int")
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Replace those partitions of the table at ``path`` that ``df`` has rows of; files of all
-    others stay as they are."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
-
 def _older(at: At):
     return F.struct("epoch", "batch_id") < F.struct(F.lit(at[0]).cast("int"), F.lit(at[1]).cast("bigint"))
 
@@ -123,17 +99,13 @@ class StateTable:
             return
         touched = [r["bucket"] for r in log.select("bucket").distinct().collect()]
         live = self._read(spark, "live").where(F.col("bucket").isin(touched))
-        self._merged(live.unionByName(log)).repartition("bucket").write.mode("overwrite").partitionBy(
-            "bucket").parquet(self.path("pending"))
-        self.recover(spark)
+        replace_partitions(self._merged(live.unionByName(log)).repartition("bucket"), self.path("live"), ["bucket"])
         for r in batches:
             delete_path(spark, self.path(f"log/epoch={r['epoch']}/batch_id={r['batch_id']}"))
 
     def recover(self, spark: SparkSession) -> None:
-        """Apply the merged buckets of a fold if they are complete."""
-        if path_exists(spark, self.path("pending/_SUCCESS")):
-            overwrite_partitions(self._read(spark, "pending"), self.path("live"), ["bucket"])
-            delete_path(spark, self.path("pending/_SUCCESS"))
+        """Finish a fold whose merged buckets are complete."""
+        recover_partitions(spark, self.path("live"), ["bucket"])
 
 
 def epoch_of(spark: SparkSession, base: str, query_id: str) -> int:

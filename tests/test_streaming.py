@@ -171,7 +171,7 @@ def test_a_fold_that_died_is_applied_again(spark, tmp_dir):
     expected = sorted(table.rows(spark).collect())
     touched = table._read(spark, "live").where("userId = 3").first().bucket
     merged = table._merged(table._read(spark, "live").where(f"bucket = {touched}").unionByName(table._read(spark, "log")))
-    merged.write.mode("overwrite").partitionBy("bucket").parquet(table.path("pending"))
+    merged.write.mode("overwrite").partitionBy("bucket").parquet(table.path("live.pending"))
     os.rename(table.path(f"live/bucket={touched}"), os.path.join(tmp_dir, "lost"))  # dies between delete and move
     assert sorted(table.rows(spark).collect()) != expected
     table.recover(spark)
