@@ -86,6 +86,14 @@ def register_users(existing: DataFrame, incoming: DataFrame, now_ms: int | None
                         F.array().cast("array<string>").alias("prefGenres"))
 
 
+def id_collisions(users: DataFrame) -> DataFrame:
+    """(userId, usernames): ids that more than one name hashes to, with the sorted names. Names
+    of one id share its ratings and lists; registration keeps them, this reports them."""
+    names = users.select("userId", "username").distinct().groupBy("userId")
+    return (names.agg(F.count("*").alias("n"), F.sort_array(F.collect_list("username")).alias("usernames"))
+            .where("n > 1").select("userId", "usernames"))
+
+
 def update_preferences(users: DataFrame, changes: DataFrame) -> DataFrame:
     """users with ``first``/``prefGenres`` replaced from changes (userId, first, prefGenres[,
     seq]); without ``seq`` a user's changes are ordered by their values."""

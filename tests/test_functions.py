@@ -86,3 +86,16 @@ def test_cosine_zero_vector_is_null(spark):
     df = spark.createDataFrame([([0.0, 0.0], [1.0, 2.0]), ([1.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     got = [r[0] for r in df.select(C.cosine("a", "b")).collect()]
     assert got[0] is None and abs(got[1] - 1.0) < 1e-12
+
+
+def test_statistics_come_in_their_order(spark):
+    """TK1-TK3: most rated, latest month and best average first, ties by product."""
+    from shoprank.operators import stats
+
+    day = 86_400
+    rows = [(1, p, s, t * day) for p, s, t in [(5, 1.0, 0), (5, 5.0, 40), (3, 3.0, 0), (3, 3.0, 1), (9, 3.0, 40), (8, 3.0, 40), (8, 3.0, 41), (2, 5.0, 400)]]
+    ratings = spark.createDataFrame(rows, "userId int, productId int, score double, timestamp bigint").repartition(5)
+    assert [tuple(r) for r in stats.rate_more_products(ratings).collect()] == [(3, 2), (5, 2), (8, 2), (2, 1), (9, 1)]
+    assert [tuple(r) for r in stats.rate_more_recently(ratings).collect()] == [
+        (2, 1, 197102), (8, 2, 197002), (5, 1, 197002), (9, 1, 197002), (3, 2, 197001), (5, 1, 197001)]
+    assert [tuple(r) for r in stats.average_products(ratings).collect()] == [(2, 5.0), (3, 3.0), (5, 3.0), (8, 3.0), (9, 3.0)]

@@ -61,3 +61,12 @@ def test_search_is_unanchored_regex(spark):
     averages = spark.createDataFrame([], "productId int, avg double")
     got = [r.productId for r in serving.search_products(products, averages, "ed C").collect()]
     assert got == [1]
+
+
+def test_names_that_share_an_id_are_reported(spark):
+    empty = spark.createDataFrame([], S.USER_SCHEMA)
+    incoming = spark.createDataFrame([("Aa", "", 1), ("BB", "", 2), ("C", "", 3), ("Aa", "", 4)], "username string, password string, seq int")
+    users = maintenance.register_users(empty, incoming, now_ms=1)
+    assert users.count() == 3
+    assert [(r.userId, r.usernames) for r in maintenance.id_collisions(users).collect()] == [(2112, ["Aa", "BB"])]
+    assert [(r.userId, r.usernames) for r in maintenance.id_collisions(users.unionByName(users)).collect()] == [(2112, ["Aa", "BB"])]
