@@ -69,10 +69,20 @@ class WordIds(dict):
         return out
 
 
+#: One vocabulary for all tasks of a Python worker; WordIds.MOST bounds it.
+_WORDS: dict[str, WordIds] = {}
+
+
+def _words(path: str) -> WordIds:
+    if path not in _WORDS:
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
+
+
 def _tokenized(path: str, capacity: int, end_id: int):
     def run(frames):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = WordIds(path)
+        words = _words(path)
         end = np.uint32(end_id).tobytes()
         for frame in frames:
             for lo in range(0, len(frame), 500):
