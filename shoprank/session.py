@@ -21,6 +21,8 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # rows of long texts go to Python workers in batches of bytes, not of 10,000 rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
