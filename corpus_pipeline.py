@@ -21,7 +21,7 @@ from shoprank.llm.packing import pack
 from shoprank.llm.quality import accepted
 from shoprank.llm.queries import tokenizer_path
 from shoprank.llm.suffix_dedup import remove_repeats
-from shoprank.session import checkpoint_dir, materialise
+from shoprank.session import apply_sql_conf, checkpoint_dir, materialise
 
 #: Bytes of a passage that the third stage keeps once only; about forty words.
 PASSAGE_BYTES = 240
@@ -29,11 +29,13 @@ PASSAGE_BYTES = 240
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
+    apply_sql_conf(spark)
     return docs.where(accepted(F.col("text")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, that with the smallest id."""
+    apply_sql_conf(spark)
     groups = jaccard_components(docs)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
@@ -43,6 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that an earlier document, or an earlier place, has already;
     those of which nothing is left go."""
+    apply_sql_conf(spark)
     cut = remove_repeats(docs, length=PASSAGE_BYTES, keep="first", as_text=True)
     n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
     cut = cut.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
@@ -51,12 +54,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
+    apply_sql_conf(spark)
     found = materialise(leaks(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "pipeline-leaks")
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents with their places in sequences of 4096 tokens."""
+    apply_sql_conf(spark)
     return pack(docs, tokenizer_path())
 
 

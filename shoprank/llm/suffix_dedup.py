@@ -36,6 +36,9 @@ from shoprank.session import materialise
 from .common import bloom_of, shuffle_partitions
 from .shingles import BYTES_PER_CHUNK, mix, powers, prefix_hash
 
+#: Bytes of text whose runs or windows share a bucket, so a task's group keeps its size.
+BUCKET_BYTES = 8 << 20
+
 PACKED = "bucket int, keys binary, places binary, names binary, extents binary"
 RUNS = "key long, start long, n long, whole boolean"
 
@@ -100,7 +103,7 @@ def _named_runs(datas: list[bytes], length: int):
 
 def _rows_by_bucket(hashes, buckets: int, columns, order_by):
     """(bucket, slice of the columns) dealt by the range of the hash, kept in order inside."""
-    bucket = ((hashes >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.uint16)
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     columns = [c[order] for c in columns]
@@ -301,7 +304,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep: str = "first", as_t
     """All columns of ``docs`` but ``text``, with kept (the remaining bytes; with ``as_text``
     the remaining text in its place), n_bytes, n_removed and n_spans (maximal removed runs)."""
     spark = docs.sparkSession
-    buckets = max(32, shuffle_partitions(spark))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(32, shuffle_partitions(spark), -(-n_bytes // BUCKET_BYTES))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"),
                         *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")] if others else []))
