@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from shoprank.session import materialise
 
 from .common import bloom_of, shuffle_partitions
-from .shingles import BYTES_PER_CHUNK, mix, powers, prefix_hash
+from .shingles import mix, powers, prefix_hash
 
+#: Bytes of text that a task looks at together, or one long text.
+CHUNK_BYTES = 200_000
 #: Bytes of text whose runs or windows share a bucket, so a task's group keeps its size.
 BUCKET_BYTES = 8 << 20
 
@@ -43,7 +45,7 @@ PACKED = "bucket int, keys binary, places binary, names binary, extents binary"
 RUNS = "key long, start long, n long, whole boolean"
 
 
-def _chunks(frame: pd.DataFrame, limit: int = BYTES_PER_CHUNK):
+def _chunks(frame: pd.DataFrame, limit: int = CHUNK_BYTES):
     part, size = [], 0
     for key, doc, text in zip(frame["key"].to_numpy(), frame["doc_id"].to_numpy(), frame["text"]):
         data = (text or "").encode("utf-8", "surrogatepass")
