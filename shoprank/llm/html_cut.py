@@ -10,8 +10,9 @@ Scripts, styles, markup, comments, forms and hidden parts never become blocks. C
 references are decoded, white space in a block becomes one space, and content blocks are
 joined by one space in page order. A form around an article or around parts of a page loses
 its controls and labels only. Bad names at or above an outermost <main>, or at or above an
-outermost <article> of a page without clean ones, do not count. Null and empty pages give an empty text. Repeated rows
-are worked on each; other columns are ignored; an empty table gives no rows.
+outermost <article> of a page without clean ones, do not count; nor do doubtful names inside an article when nothing else
+of the page is content. Null and empty pages give an empty text. A page of any length and depth is read whole, in time
+that grows with its length. Repeated rows are worked on each; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from bisect import bisect_left
+from collections import Counter, deque
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 SKIPPED = frozenset("script style noscript template svg math iframe object head title select textarea button".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
+#: Elements without text of their own that stand inside a word or line.
+UNSEEN = frozenset("img input picture source embed link meta area param track script style noscript template svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTENT = frozenset("article main".split())
 BOILERPLATE = frozenset("nav footer aside menu dialog".split())
@@ -39,8 +43,10 @@ BAD_WORDS = re.compile(
     r"disqus|discussion|responses?|login|signup|search|pagination|pager|toolbar|skip|legal|copyright)(?:[^a-z]|$)")
 GOOD_WORDS = re.compile(r"(?:^|[^a-z])(?:article\w*|content|main|body|post|story|entry|text)(?:[^a-z]|$)")
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+#: Quotes hold a ``>`` only after an equals sign; nothing is matched twice.
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+                   r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[\"'=])*+)(?:>|\Z)", re.S)
+QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Tokens that tell of the page's state or layout, not of what the element holds.
 STATE = re.compile(r"(?:has|have|no|with|without|is|show|hide)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off|active|visible)")
@@ -50,14 +56,16 @@ CLEAR = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|comments?|disqus|s
 FORM_END = re.compile(r"</form\s*>", re.I)
 #: Elements that make a form around them a wrapper of the page.
 WRAPPED = re.compile(r"<(?:article|main|h1|header|footer|nav|aside)[\s>/]", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+HIDDEN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+HIDDEN_FLAG = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 
 #: Weights of the classifier; a positive score speaks for content.
 BIAS, LONG, LINKED, ENDS, GOOD, BAD, HEADING, OUTSIDE = 0.2, 0.5, 3.5, 0.6, 4.0, 6.0, 0.8, 3.0
 #: For a section of an article of which only the id is bad: long paragraphs stay.
 WEAK = 5.5
-#: Capacities of the edges between neighbours, and between blocks with a near common ancestor.
-NEXT, NEAR = 0.5, 0.4
+#: Capacities of the edges between neighbours, and between blocks with a near common ancestor,
+#: lowered by their difference in link text and by other names around them.
+NEXT, NEAR = 1.0, 0.6
 
 
 class Block:
@@ -69,9 +77,10 @@ class Block:
         self.under, self.weak = under, weak
 
 
-def bad_name(tag: str, named: str) -> bool:
-    """A bad word in the names; those of an article must be one as a whole."""
-    tokens = [x for x in named.split() if not STATE.fullmatch(x)]
+def bad_name(tag: str, named: str, phrases: bool = True) -> bool:
+    """A bad word in the names; those of an article must be one as a whole. Without ``phrases``
+    names of three and more words do not count."""
+    tokens = [x for x in named.split() if not STATE.fullmatch(x) and (phrases or len(re.split("[-_]+", x)) < 3)]
     if tag in CONTENT:
         return tag == "article" and any(BAD_WORDS.fullmatch(x) for x in tokens)
     return bool(BAD_WORDS.search(" ".join(tokens)))
@@ -81,15 +90,32 @@ def named_of(rest: str) -> str:
     return " ".join(a or b or c for a, b, c in NAMED.findall(rest)).lower()
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks with text in page order."""
+def hidden(rest: str) -> bool:
+    return "hidden" in rest.lower() and bool(HIDDEN_FLAG.search(QUOTED.sub("", rest))) or bool(HIDDEN.search(rest))
+
+
+def blocks_of(page: str, doubtful: bool = True) -> list[Block]:
+    """Blocks with text in page order. Without ``doubtful`` only CLEAR bad names count inside
+    an article."""
     out: list[Block] = []
-    # tag, element number, good, bad, skipped, bad names at or above an outermost article, weak
-    stack: list[tuple[str, int, int, int, int, int, bool]] = []
-    current, links, number, at = None, 0, 0, 0
+    # tag, element number, good, bad, skipped, bad names at or above an outermost article, weak,
+    # place of the nearest element at or above that is no inline one
+    stack: list[tuple[str, int, int, int, int, int, bool, int]] = []
+    opened: Counter[str] = Counter()
+    current, number, at = None, 0, 0
+    form_ends = [m.start() for m in FORM_END.finditer(page)]
+    wrapped = [m.start() for m in WRAPPED.finditer(page)]
 
     def state():
-        return stack[-1] if stack else ("", 0, 0, 0, 0, 0, False)
+        return stack[-1] if stack else ("", 0, 0, 0, 0, 0, False, -1)
+
+    def some(tags) -> bool:
+        return any(opened[t] for t in tags)
+
+    def pop() -> str:
+        gone = stack.pop()[0]
+        opened[gone] -= 1
+        return gone
 
     def text(raw: str):
         nonlocal current
@@ -99,11 +125,11 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if not raw.strip():
                 return
-            _, _, good, bad, _, under, weak = state()
-            current = Block(tuple(e[1] for e in stack), good, bad, any(e[0] in HEADINGS for e in stack), under, weak)
+            _, _, good, bad, _, under, weak, _ = state()
+            current = Block(tuple(e[1] for e in stack[-3:-1]), good, bad, some(HEADINGS), under, weak)
             out.append(current)
         current.parts.append(raw)
-        if links:
+        if opened["a"]:
             current.linked += len(raw)
 
     while at < len(page):
@@ -117,41 +143,45 @@ def blocks_of(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in UNSEEN and not state()[4]:
             current = None
         if closing:
-            if any(e[0] == tag for e in stack):
+            if opened[tag]:
                 while True:
-                    gone = stack.pop()[0]
-                    links -= gone == "a"
-                    if gone not in INLINE:
+                    gone = pop()
+                    if gone not in INLINE and gone not in UNSEEN:
                         current = None
                     if gone == tag:
                         break
             continue
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or tag in HEADINGS:
             # these end an open paragraph, and an open element of their own kind beside them
-            while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p" or stack[-1][0] == tag) and any(
-                    e[0] in ("p", tag) for e in stack[-8:]):
-                links -= stack.pop()[0] == "a"
+            while state()[7] >= 0 and stack[state()[7]][0] in ("p", tag):
+                end = state()[7]
+                while len(stack) > end:
+                    pop()
         number += 1
         if tag in VOID or rest.endswith("/"):
             continue
-        _, _, good, bad, skipped, under, weak = state()
+        _, _, good, bad, skipped, under, weak, outer = state()
         named = named_of(rest)
-        in_form = any(e[0] == "form" for e in stack)
-        skipped = skipped or tag in SKIPPED or (in_form and tag in ("label", "legend")) or bool(HIDDEN.search(rest))
+        skipped = skipped or tag in SKIPPED or (opened["form"] and tag in ("label", "legend")) or hidden(rest)
         if tag == "form":
-            end = FORM_END.search(page, at)
-            skipped = skipped or not WRAPPED.search(page, at, end.start() if end else len(page))
-        in_article = any(e[0] in CONTENT for e in stack)
+            end = bisect_left(form_ends, at)
+            end = form_ends[end] if end < len(form_ends) else len(page)
+            inner = bisect_left(wrapped, at)
+            skipped = skipped or inner == len(wrapped) or wrapped[inner] >= end
+        in_article = some(CONTENT)
         named_bad = bool(named) and tag not in ("html", "body") and bad_name(tag, named)
+        if named_bad and in_article and not doubtful and tag not in CONTENT and not CLEAR.search(named):
+            named_bad = False
         if tag in CONTENT:
             bad += named_bad
-            if not in_article and not any(e[0] in BOILERPLATE for e in stack):
+            if not in_article and not some(BOILERPLATE):
                 under, bad = (0, 0) if tag == "main" else (bad, bad)
             good = 0 if bad else 1 if weak else 2
-        elif named_bad and tag == "section" and good == 2 and not bad and not CLEAR.search(named) and not bad_name(tag, named_of(IDS.sub(" ", rest))):
+        elif named_bad and good == 2 and not bad and not CLEAR.search(named) and (
+                not bad_name(tag, named, False) or (tag == "section" and not bad_name(tag, named_of(IDS.sub(" ", rest))))):
             good, weak = 1, True
         elif tag in BOILERPLATE or (tag == "header" and not in_article) or named_bad:
             good, bad = 0, bad + 1
@@ -161,8 +191,8 @@ def blocks_of(page: str) -> list[Block]:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        stack.append((tag, number, good, bad, int(skipped), under, weak))
-        links += tag == "a"
+        stack.append((tag, number, good, bad, int(bool(skipped)), under, weak, outer if tag in INLINE else len(stack)))
+        opened[tag] += 1
     if not any(b.good == 2 for b in out):
         for block in out:
             if block.under:
@@ -248,24 +278,37 @@ def min_cut(costs: list[float], edges: list[tuple[int, int, float]]) -> list[boo
                 node = to[path.pop() ^ 1]
 
 
-def main_text(page: str | None) -> tuple[str, int, int]:
-    """(text of the content blocks, number of them, number of all blocks)."""
-    blocks = blocks_of(page or "")
-    if not blocks:
-        return "", 0, 0
+def labelled(blocks: list[Block]) -> tuple[list[float], list[bool]]:
+    """(costs, labels of the minimum cut) of the blocks of a page."""
     marked = any(b.good == 2 for b in blocks)
     costs = [score(b, marked) for b in blocks]
     edges = []
     last_under: dict[int, int] = {}
+
+    def link(a: int, b: int, weight: float):
+        one, two = blocks[a], blocks[b]
+        alike = 1.0 - abs(min(1.0, one.linked / one.chars) - min(1.0, two.linked / two.chars))
+        edges.append((a, b, weight * alike * (1.0 if (one.good, one.bad) == (two.good, two.bad) else 0.25)))
+
     for k, block in enumerate(blocks):
         if k:
-            same = blocks[k - 1].good == block.good and blocks[k - 1].bad == block.bad
-            edges.append((k - 1, k, NEXT if same else NEXT / 4))
-        for parent in block.path[-3:-1]:
-            if parent in last_under and last_under[parent] < k - 1:
-                edges.append((last_under[parent], k, NEAR))
+            link(k - 1, k, NEXT)
+        for parent in block.path:
+            if parent in last_under:
+                link(last_under[parent], k, NEAR)
             last_under[parent] = k
-    kept = [b.text for b, content in zip(blocks, min_cut(costs, edges)) if content]
+    return costs, min_cut(costs, edges)
+
+
+def main_text(page: str | None) -> tuple[str, int, int]:
+    """(text of the content blocks, number of them, number of all blocks)."""
+    blocks = blocks_of(page or "")
+    if not blocks:
+        return "", 0, 0
+    kept = [b.text for b, content in zip(blocks, labelled(blocks)[1]) if content]
+    if not kept:
+        blocks = blocks_of(page, doubtful=False)
+        kept = [b.text for b, content in zip(blocks, labelled(blocks)[1]) if content]
     return " ".join(kept), len(kept), len(blocks)
 
 
