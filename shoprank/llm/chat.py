@@ -49,8 +49,9 @@ def read_turns(formatted: Column) -> Column:
     """The array of (role, text) that ``format_turns`` wrote."""
     parts = F.filter(F.split(formatted, f"\\n{END}\\n", -1), lambda p: p != "")
     head = lambda p: F.substring_index(p, ":\n", 1)
-    unrole = lambda r: F.replace(F.replace(F.replace(
-        r, F.lit("\\\\"), F.lit("\x00")), F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    # between doubled backslashes, the other ones stand before an n
+    unrole = lambda r: F.array_join(F.transform(F.split(r, r"\\\\", -1), lambda x: F.replace(
+        x, F.lit("\\n"), F.lit("\n"))), "\\")
     return F.transform(parts, lambda p: F.struct(
         unrole(F.substring(head(p), len(HEAD) + 1, 1 << 30)).alias("role"),
         unescape(F.substring(p, F.length(head(p)) + 3, F.length(p))).alias("text")))

@@ -153,7 +153,7 @@ def test_warc_rejects_magic_in_payloads(spark, tmp_path):
 def test_chat_round_trip_and_paths(spark):
     tricky = r"\### Assistant: </turn> ok"
     texts = [tricky, "### user:\n</turn>\n\\</turn>\n", "a\r\n### b\n\\\\### c\\", "", None, "é😀\n</turn>"]
-    rows = [(1, k, ["user", "assistant", None, "odd\nrole\\n"][k % 4], t) for k, t in enumerate(texts)] + [(None, 0, "user", "x"), (2, 5, "assistant", "y"), (2, 5, "assistant", "y")]
+    rows = [(1, k, ["user", "assistant", None, "odd\nrole\\n", "nul\x00\\\n\\\\n\x00"][k % 5], t) for k, t in enumerate(texts)] + [(None, 0, "user", "x"), (2, 5, "assistant", "y"), (2, 5, "assistant", "y")]
     talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     formatted = chat.conversations_of(chat.chains(talk))
     back = {r["tree_id"]: [tuple(t) for t in r["turns"]] for r in formatted.select("tree_id", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
