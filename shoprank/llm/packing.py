@@ -6,8 +6,9 @@ packers of a bounded number of tokens, and every packer runs bounded-space onlin
 over its stream: a fixed number of open bins, kept in a bitset keyed by free space. A piece
 goes to the open bin whose free space fits it best; if none fits, a new bin is opened, and
 when all are in use the fullest closes first. A packer holds open bins only, whatever the
-length of its stream. The stream comes from the longest piece to the shortest (Spark's sort),
-so that short pieces fill what long ones leave.
+length of its stream. Few bins are open against the sequences of a packer, so closing is the
+rule. The stream is a number of runs dealt by hash, each from the longest piece to the shortest
+(Spark's sort): in every run short pieces fill what long ones leave, before it closes.
 
 Null texts are empty: one piece with the end token alone. Rows that repeat an id are packed
 each; null ids are carried along; other columns are ignored; an empty table gives no rows.
@@ -27,8 +28,10 @@ from shoprank.session import materialise
 
 from .shingles import LOWER
 
-#: Open bins of a packer; a fixed number.
-OPEN_BINS = 4096
+#: Open bins of a packer; a fixed number, far below the sequences it fills.
+OPEN_BINS = 128
+#: Runs of falling length in the stream of a packer.
+RUNS = 16
 #: Sequences that one packer fills, about; more tokens mean more packers.
 SEQUENCES_PER_PACKER = 2048
 
@@ -161,7 +164,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
     packers = max(1, round(tokens / (capacity * SEQUENCES_PER_PACKER)))
     mixed = F.xxhash64("spread", "doc_id", "piece")
     dealt = (rest.withColumn("packer", F.pmod(mixed, F.lit(packers)))
-             .repartition(packers, "packer").sortWithinPartitions("packer", F.desc("length"), "spread", "doc_id")
+             .withColumn("run", F.pmod(F.xxhash64(F.lit(RUNS), "spread", "doc_id", "piece"), F.lit(RUNS)))
+             .repartition(packers, "packer").sortWithinPartitions("packer", "run", F.desc("length"), "spread", "doc_id")
              .select("doc_id", "piece", "start", "length", "ids_crc32", "packer"))
     packed = dealt.mapInPandas(_packed(capacity, open_bins), PACKED)
     full = pieces.where(F.col("length") == capacity).select(

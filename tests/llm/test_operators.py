@@ -12,7 +12,7 @@ from shoprank.llm import chat, warc
 from shoprank.llm.decontaminate import leaks
 from shoprank.llm.html_cut import extract, main_text, min_cut
 from shoprank.llm.jaccard import jaccard_components
-from shoprank.llm.packing import OpenBins, pack
+from shoprank.llm.packing import OPEN_BINS, RUNS, OpenBins, pack
 from shoprank.llm.quality import quality_report
 from shoprank.llm.queries import tokenizer_path
 from shoprank.llm.sharding import lpt, shard
@@ -115,6 +115,21 @@ def test_open_bins_close_the_fullest():
     assert bins.place(4, 3) == (0, 6, False) and bins.place(3, 3) == (2, 5, False)
 
 
+def test_bounded_packing_is_near_the_lower_bound():
+    import random
+
+    dice = random.Random(3)
+    lengths = [min(4095, int(dice.expovariate(1 / 700)) + 1) for _ in range(12_000)]
+    stream = [x for run in range(RUNS) for x in sorted(lengths[run::RUNS], reverse=True)]
+    bins, opened, held = OpenBins(4096, OPEN_BINS), 0, defaultdict(int)
+    for length in stream:
+        place, offset, new = bins.place(length, opened)
+        opened += new
+        assert held[place] == offset and offset + length <= 4096 and bins.count <= OPEN_BINS
+        held[place] += length
+    assert len(held) == opened > 4 * OPEN_BINS and opened <= 1.01 * (sum(lengths) / 4096 + 1)
+
+
 def test_sharding_law_and_slots(docs):
     rows = shard(docs, 3).collect()
     texts = docs.collect()
