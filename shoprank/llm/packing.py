@@ -17,6 +17,7 @@ each; null ids are carried along; other columns are ignored; an empty table give
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -42,9 +43,14 @@ PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 _PARTED = bytes(32 if c == 10 else LOWER[c] for c in range(256))
 
 
+#: A word that ends in ASCII punctuation after an ASCII letter or digit.
+_TAIL = re.compile(rb"(.*[a-z0-9])([^a-z0-9\x80-\xff]+)", re.S)
+
+
 class WordIds(dict):
     """Token ids (little-endian bytes) by word. Only for tokenizers that part words at white
-    space and lower-case: then the ids of a text are those of its words, one after another."""
+    space, part punctuation from a letter or digit before it, and lower-case: then the ids of a
+    text are those of its words, and those of a word the ones of its front and its tail."""
 
     LONGEST, MOST = 64, 600_000
 
@@ -56,14 +62,21 @@ class WordIds(dict):
 
     def of(self, texts) -> list[bytes]:
         parted = [(t or "").encode("utf-8", "replace").translate(_PARTED).split(b" ") for t in texts]
-        missing = list({w for words in parted for w in words if w not in self})
+        missing = {w for words in parted for w in words if w not in self}
+        halves = {w: m.groups() for w in missing if (m := _TAIL.fullmatch(w))}
+        coded = list({x for w in missing for x in halves.get(w, (w,)) if x not in self})
         more = {}
-        for lo in range(0, len(missing), 20_000):
-            part = missing[lo:lo + 20_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, code in zip(part, coded):
-                ids = np.array(code.ids, np.uint32).tobytes()
-                (self if len(word) <= self.LONGEST else more)[word] = ids
+
+        def keep(word, ids):
+            (self if len(word) <= self.LONGEST else more)[word] = ids
+
+        for lo in range(0, len(coded), 20_000):
+            part = coded[lo:lo + 20_000]
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            for word, code in zip(part, found):
+                keep(word, np.array(code.ids, np.uint32).tobytes())
+        for word, own in halves.items():
+            keep(word, b"".join([self[x] if x in self else more[x] for x in own]))
         out = [b"".join([self[w] if w in self else more[w] for w in words]) if more else
                b"".join(map(self.__getitem__, words)) for words in parted]
         if len(self) > self.MOST:
