@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -74,7 +75,8 @@ class WordIds(dict):
             part = coded[lo:lo + 20_000]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for word, code in zip(part, found):
-                keep(word, np.array(code.ids, np.uint32).tobytes())
+                ids = code.ids
+                keep(word, struct.pack(f"<{len(ids)}I", *ids))
         for word, own in halves.items():
             keep(word, b"".join([self[x] if x in self else more[x] for x in own]))
         out = [b"".join([self[w] if w in self else more[w] for w in words]) if more else
