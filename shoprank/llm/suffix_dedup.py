@@ -1,11 +1,13 @@
 """Suffix-array dedup: removal of byte strings of ``length`` that occur more than once.
 
-The longest-previous-factor array asks, for every suffix, for an earlier suffix with a long
-common prefix; with a fixed length only "is LPF >= length" matters, and for that suffixes
-need to be in an order that puts equal ``length``-byte prefixes side by side. The order used
-here is that of a 64-bit hash of those prefixes, so it can be dealt out by hash range; in it
-the previous and next smaller positions inside a run of equal prefixes are the earlier
-matches. Suffixes that cannot match are left out before:
+The longest-previous-factor array tells, for every suffix, the longest prefix it shares with an
+earlier suffix, which is the previous or next smaller position in suffix order; what it covers
+with ``length`` bytes or more goes. With a fixed length, LPF is wanted up to ``length`` only, so
+suffixes need an order that puts equal ``length``-byte prefixes side by side: that of a 64-bit
+hash of those prefixes, dealt out by hash range, so that no common passage or letter fills a
+range. In each range common prefixes are ``length`` or 0 (windows of one hash are taken as
+equal), and LPF comes from the smaller positions on both sides. Suffixes that cannot match are
+left out before:
 
 1. Every window of ``length`` bytes is named by the smallest hash of its inner grams
    (a minimizer). Neighbouring windows of one name form a run; equal windows have equal
@@ -14,8 +16,9 @@ matches. Suffixes that cannot match are left out before:
 2. Of the other runs, and of one run of each extent, every window becomes a suffix of the
    order above.
 
-``keep='first'`` removes the bytes of windows that have an earlier equal one (smaller doc_id,
-then row key, then place); ``keep='none'`` removes those of all windows that occur twice.
+``keep='first'`` removes the bytes of windows with LPF >= length (earlier: smaller doc_id, then
+row key, then place); ``keep='none'`` also those with a later equal window, by the same array over
+falling positions.
 Windows are judged on the input, overlaps count, matches never cross rows.
 
 Rows are told apart by a hash of id and text; rows equal in both count as one document under
@@ -223,30 +226,50 @@ def _pack_windows(buckets: int, length: int):
     return run
 
 
-def earlier_match(prefix: np.ndarray, position: np.ndarray) -> np.ndarray:
-    """For suffixes in suffix order: has the suffix an earlier one with an equal prefix? That
-    is its previous or next smaller position inside the run of equal prefixes. Sorted by
-    position inside a run, the previous smaller value is the neighbour before."""
-    equal = prefix[1:] == prefix[:-1]
-    return np.r_[False, equal & (position[1:] > position[:-1])]
+def longest_previous(lcp: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """Longest-previous-factor array in suffix order: for each suffix the longest prefix that it
+    shares with one of a smaller ``position``. ``lcp`` is that shared with the suffix before.
 
+    The suffix of the longest one is the previous or the next with a smaller position in suffix
+    order. Each side is walked from neighbour to neighbour's own smaller one, all suffixes at
+    once, and no further than something is shared."""
 
-def _matching_windows(keep: str):
+    def one_side(lcp: np.ndarray, position: np.ndarray) -> np.ndarray:
+        smaller, shared = np.arange(len(lcp)) - 1, lcp.copy()
+        shared[:1] = 0
+        going = np.flatnonzero(shared > 0)
+        while len(going):
+            going = going[position[smaller[going]] > position[going]]
+            over = smaller[going]
+            shared[going] = np.minimum(shared[going], shared[over])
+            smaller[going] = smaller[over]
+            going = going[shared[going] > 0]
+        return shared
+
+    before = one_side(lcp, position)
+    after = one_side(np.r_[lcp[:1], lcp[1:][::-1]], position[::-1])[::-1]
+    return np.maximum(before, after)
+
+
+def _matching_windows(keep: str, length: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         h = np.concatenate([np.frombuffer(b, np.uint64) for b in frame["names"]])
         start = np.concatenate([np.frombuffer(b, np.uint32) for b in frame["places"]]).astype(np.int64)
         key, doc = _unpack_owner(frame["keys"])
         del frame
-        order = np.argsort(h, kind="stable")
+        order = np.argsort(h, kind="stable")  # suffix order
         same = h[order][1:] == h[order][:-1]
         order = order[np.r_[False, same] | np.r_[same, False]]
-        order = order[np.lexsort((start[order], key[order], doc[order], h[order]))]
         h, key, doc, start = h[order], key[order], doc[order], start[order]
-        if keep == "first":
-            rank = np.arange(len(h))  # positions ascend inside a run of equal prefixes
-            copy = np.r_[False, (h[1:] == h[:-1]) & (key[1:] == key[:-1]) & (start[1:] == start[:-1])] if len(h) else np.zeros(0, bool)
-            hit = earlier_match(h, rank) & ~copy if len(h) else np.zeros(0, bool)
-            h, key, start = h[hit], key[hit], start[hit]
+        equal = np.r_[False, h[1:] == h[:-1]][:len(h)]
+        lcp = np.where(equal, length, 0)
+        position = np.empty(len(h), np.int64)
+        position[np.lexsort((start, key, doc))] = np.arange(len(h))
+        match = longest_previous(lcp, position)
+        if keep == "none":  # a later one counts as well
+            match = np.maximum(match, longest_previous(lcp, -position))
+        hit = match >= length
+        h, key, start = h[hit], key[hit], start[hit]
         if not len(h):
             return pd.DataFrame({"key": [], "start": [], "n": [], "whole": []})
         order = np.lexsort((start, key))
@@ -322,7 +345,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep: str = "first", as_t
     windows = materialise(
         texts.join(look.groupBy("key").agg(listed), "key")
         .mapInPandas(_pack_windows(buckets, length), PACKED)
-        .groupBy("bucket").applyInPandas(_matching_windows(keep), RUNS), "suffix-windows")
+        .groupBy("bucket").applyInPandas(_matching_windows(keep, length), RUNS), "suffix-windows")
     cuts = runs.where("whole").unionByName(windows).select("key", "start", "n")
     hit = bloom_of(cuts, "key")
     left = "text string" if as_text else "kept binary"

@@ -16,7 +16,7 @@ from shoprank.llm.packing import OPEN_BINS, RUNS, OpenBins, pack
 from shoprank.llm.quality import quality_report
 from shoprank.llm.queries import tokenizer_path
 from shoprank.llm.sharding import lpt, shard
-from shoprank.llm.suffix_dedup import remove_repeats
+from shoprank.llm.suffix_dedup import longest_previous, remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -236,3 +236,14 @@ def test_empty_tables(spark):
     assert shard(none).count() == 0
     assert leaks(none, none.withColumnRenamed("doc_id", "item_id")).count() == 0
     assert quality_report(none).count() == 0
+
+
+def test_longest_previous_equals_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        n = int(rng.integers(0, 60))
+        lcp, position = rng.integers(0, 6, n) * rng.integers(0, 2, n), rng.permutation(n)
+        wanted = [max([0, *(min(lcp[min(i, j) + 1:max(i, j) + 1]) for j in range(n) if position[j] < position[i])]) for i in range(n)]
+        assert longest_previous(lcp, position).tolist() == wanted
