@@ -139,7 +139,8 @@ def _pack_runs(buckets: int, length: int):
                     continue
                 ids = np.array([(key, doc) for key, doc, _ in part], np.int64)
                 rows = []
-                for bucket, (o, s, m, a, h, e) in _rows_by_bucket(name, buckets, [owner, start, n, again, name, extent], owner):
+                # names are smallest hashes, so their own range would deal nearly all to the first bucket
+                for bucket, (o, s, m, a, h, e) in _rows_by_bucket(mix(name), buckets, [owner, start, n, again, name, extent], owner):
                     places = np.column_stack([s, m * 2 + a]).astype(np.uint32)
                     rows.append((bucket, _pack_owner(o, ids), places.tobytes(),
                                  h.view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), e.tobytes()))
