@@ -8,7 +8,8 @@ set on further sampled lines, so that at most one in a thousand unknown lines pa
 
 Paragraphs end at lines without a letter or digit. Every line is classified, and in paragraphs
 with a word of ``ANCHOR`` every two and three neighbouring lines that hold one as well, so that
-wrapped templates are seen whole; a predicted family is confirmed by the share of the best
+wrapped templates are seen whole (lines without any word that a confirmation needs are left out
+before, which changes no result); a predicted family is confirmed by the share of the best
 matching template's words that stand there. The short notices, of which a share says nothing,
 are looked for word by word in the joined lines of these paragraphs; one that is found confirms
 its family, with the probability that the classifier gives the notice for it.
@@ -30,7 +31,8 @@ from shoprank.session import materialise
 
 from .common import bind
 
-#: Lines of the input that training takes as unknown, and as many for the bar.
+#: Lines of the input that training takes as unknown, and as many for the bar. They come from
+#: about twice as many documents, picked by a hash of the row.
 SAMPLE = 4000
 VARIANTS = 24
 FEATURES = 1 << 13
@@ -96,6 +98,10 @@ NOT_BEFORE = {"cc-by": "sa|nc|nd|sharealike|share|noncommercial|non|noderivative
 #: Every template and notice has one of these; cheap, and read in the raw text.
 ANCHOR = (r"(?i)licen[cs]|permission|permitted|redistribut|reserved|confidential|proprietary|domain|copyright|gpl|apache|"
           r"mozilla|mpl|bsd|mit\s+or|or\s+mit|cc[^\p{L}\p{N}]*by|cc[^\p{L}\p{N}]*(?:0|zero)|creative\s*commons")
+#: The same in two parts: literals, and what needs a pattern.
+ANCHOR_WORDS = ["licenc", "licens", "permission", "permitted", "redistribut", "reserved", "confidential", "proprietary", "domain",
+                "copyright", "gpl", "apache", "mozilla", "mpl", "bsd"]
+ANCHOR_REST = r"(?i)mit\s+or|or\s+mit|c(?:c[^\p{L}\p{N}]*(?:by|0|zero)|reative\s*commons)"
 #: Lines without a letter or digit between two paragraphs.
 BLANK = r"\n[^\p{L}\p{N}]*\n"
 FAMILIES = sorted(TEMPLATES)
@@ -141,10 +147,36 @@ def _overlap(words: Column, family: Column) -> Column:
     return best
 
 
+COMMON = {"the", "of", "and", "to", "a", "in", "is", "this", "or", "it", "for", "with", "by", "be", "as", "are", "all", "any", "no", "may", "you"}
+
+
+def _template_words(text: str) -> set[str]:
+    return set("".join(c.lower() if c.isalnum() else " " for c in text).split())
+
+
+def _confirmable(words: Column) -> Column:
+    """Whether a line can hold ``CONFIRM`` of some template's words: it then has one of those
+    that are not common, as the common ones alone are too few in every template. Others need no
+    class."""
+    sets = [_template_words(t) for f in FAMILIES for t in TEMPLATES[f]]
+    assert all(len(s & COMMON) < CONFIRM * len(s) for s in sets)
+    return F.arrays_overlap(words, F.array(*[F.lit(w) for w in sorted(set().union(*sets) - COMMON)]))
+
+
+def _anchored(text: Column) -> Column:
+    """Whether ``ANCHOR`` is found; literals are looked for without a pattern."""
+    def literals(low: Column) -> Column:
+        found = F.contains(low, F.lit(ANCHOR_WORDS[0]))
+        for word in ANCHOR_WORDS[1:]:
+            found = found | F.contains(low, F.lit(word))
+        return found
+
+    return bind(F.lower(text), literals) | text.rlike(ANCHOR_REST)
+
+
 def _any_overlap(words: Column) -> Column:
     """Share of the words that stand in any template: high for licence lines."""
-    known = sorted({w for f in FAMILIES for t in TEMPLATES[f] for w in "".join(c.lower() if c.isalnum() else " " for c in t).split()} - {
-        "the", "of", "and", "to", "a", "in", "is", "this", "or", "it", "for", "with", "by", "be", "as", "are", "all", "any", "no", "may", "you"})
+    known = sorted(set().union(*[_template_words(t) for f in FAMILIES for t in TEMPLATES[f]]) - COMMON)
     return F.size(F.filter(words, lambda w: w.isin(known))) / F.greatest(F.size(words), F.lit(1))
 
 
@@ -172,7 +204,7 @@ def units(paragraph: Column) -> Column:
 
     def of(lines: Column) -> Column:
         single = F.transform(lines, _unit(-1))
-        return F.when(paragraph.rlike(ANCHOR), F.concat(single, windows(lines, 2), windows(lines, 3), bind(_joined(paragraph), notices))).otherwise(single)
+        return F.when(_anchored(paragraph), F.concat(single, windows(lines, 2), windows(lines, 3), bind(_joined(paragraph), notices))).otherwise(single)
 
     return bind(F.split(paragraph, "\n", -1), of)
 
@@ -181,7 +213,9 @@ def train(docs: DataFrame, sample: int = SAMPLE):
     """(hashing, model, bar) from the templates and a bounded sample of lines of ``docs``."""
     spark = docs.sparkSession
     notice = F.col("line").rlike(ANCHOR) & _joined(F.col("line")).rlike("|".join(_notice(name) for name in FAMILIES))
-    lines = (paragraphs(docs).select(F.explode(F.split("paragraph", "\n", -1)).alias("line"))
+    share = 2 * sample / max(docs.count(), 1)
+    some = docs if share >= 1 else docs.where(F.xxhash64("doc_id", "text") < int(share * 2**64) - 2**63)
+    lines = (paragraphs(some).select(F.explode(F.split("paragraph", "\n", -1)).alias("line"))
              .select("line", words_of(F.col("line")).alias("words"))
              .where((F.size("words") >= 3) & (_any_overlap(F.col("words")) < 0.5) & ~notice))
     picked = materialise(lines.select("words", F.xxhash64("line").alias("h")).orderBy("h").limit(2 * sample), "licence-sample")
@@ -210,9 +244,11 @@ def licences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     hashing, model, bar = train(docs, sample)
     keys = ["doc_id", "row", "place", "named"]
-    lines = (paragraphs(docs).select("doc_id", "row", "place", F.explode(units(F.col("paragraph"))).alias("unit"))
-             .select("doc_id", "row", "place", "unit.named", words_of(F.col("unit.text")).alias("words"))
-             .where((F.size("words") >= 2) | (F.col("named") >= 0)))
+    # words are made, and lines left out, before the rows, so that neither is done twice
+    in_words = F.transform(units(F.col("paragraph")), lambda u: F.struct(u["named"].alias("named"), words_of(u["text"]).alias("words")))
+    worth = F.filter(in_words, lambda u: (u["named"] >= 0) | (F.size(u["words"]) >= 2) & _confirmable(u["words"]))
+    lines = (paragraphs(docs).select("doc_id", "row", "place", F.explode(worth).alias("unit"))
+             .select("doc_id", "row", "place", "unit.named", "unit.words"))
     scored = model.transform(hashing.transform(lines.select(*keys, "words", grams_of(F.col("words")).alias("grams"))))
     chances, notice = vector_to_array("probability"), F.col("named") >= 0
     hit = scored.select(*keys, "words", F.when(notice, F.col("named")).otherwise(F.col("prediction").cast("int")).alias("family"),
