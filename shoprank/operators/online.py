@@ -21,12 +21,15 @@ size is under the broadcast threshold and shuffles otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoprank import schemas as S
 from shoprank.operators.maintenance import push_recent
 from shoprank.operators.topk import rank_within
+from shoprank.session import materialise
 
 
 def last_event_per_user(events: DataFrame) -> DataFrame:
@@ -54,6 +57,19 @@ def rank_partners(sims: DataFrame) -> DataFrame:
                        [F.desc("score"), F.asc("recProductId")])
 
 
+def partners_needed(last_events: DataFrame, rated: DataFrame, n: int = S.MAX_SIM_PRODUCTS_NUM) -> DataFrame:
+    """(productId, most): how many first partners of an event's product ``candidates`` can read."""
+    per_user = rated.select("userId", "productId").distinct().groupBy("userId").agg(F.count(F.lit(1)).alias("r"))
+    return (last_events.select("userId", "productId").join(per_user, "userId", "left")
+            .groupBy("productId").agg((F.coalesce(F.max("r"), F.lit(0)) + n).alias("most")))
+
+
+def candidate_pairs(cands: DataFrame, recent: DataFrame) -> DataFrame:
+    """(productId, recProductId): the pairs whose similarity ``score_candidates`` looks up."""
+    return (cands.select("userId", "candidate").join(recent.select("userId", F.col("productId").alias("recProductId")), "userId")
+            .select(F.col("candidate").alias("productId"), "recProductId").distinct())
+
+
 def candidates(last_events: DataFrame, sims: DataFrame, rated: DataFrame,
                n: int = S.MAX_SIM_PRODUCTS_NUM) -> DataFrame:
     """(userId, rank, candidate, sim): the n most similar unrated products per event.
@@ -114,18 +130,24 @@ def priority(wsum, n, incr, decr, penalty: str = "as_written") -> F.Column:
 def recommend_batch_flat(events: DataFrame, queue: DataFrame, rated: DataFrame, sims: DataFrame,
                          threshold: float = S.SIMILARITY_THRESHOLD, penalty: str = "as_written",
                          n_candidates: int = S.MAX_SIM_PRODUCTS_NUM,
-                         n_recent: int = S.RECENT_RATINGS_USED, pushed: bool = False) -> DataFrame:
+                         n_recent: int = S.RECENT_RATINGS_USED, pushed: bool = False,
+                         scores: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Flat StreamRecs rows (userId, rank, productId, score) for the users of the batch;
     a user with no scored candidate has one row with NULL rank/product/score.
 
     events: (userId, productId, score, timestamp, seq); queue: recent queue before the
     batch (userId, pos, productId, score), or after it if ``pushed``; rated: (userId,
-    productId) stored ratings; sims: (productId, recProductId, score)."""
+    productId) stored ratings; sims: (productId, recProductId, score). With ``scores`` the sims
+    need only hold the partners of the events' products (``partners_needed``); it gives the
+    similarity (productId, recProductId, score) of ``candidate_pairs``."""
     last = last_event_per_user(events)
     recent = queue.where(F.col("pos") <= n_recent) if pushed else recent_ratings(queue, events, n_recent)
     rated_all = rated.select("userId", "productId").unionByName(events.select("userId", "productId"))
     rated_users = rated_all.join(last.select("userId"), "userId", "left_semi")
     cands = candidates(last, sims, rated_users, n_candidates)
+    if scores is not None:
+        cands, recent = materialise(cands, "candidates"), materialise(recent, "recent")
+        sims = scores(candidate_pairs(cands, recent))
     scored = score_candidates(cands, recent, sims, threshold, penalty)
     ranked = rank_within(scored, "userId", [F.desc("priority"), F.asc("candidate")])
     return (last.select("userId").join(ranked, "userId", "left")
