@@ -46,6 +46,12 @@ def recent_ratings(queue: DataFrame, events: DataFrame, n: int = S.RECENT_RATING
     return push_recent(touched, events).where(F.col("pos") <= n)
 
 
+def batch_ratings(ratings: DataFrame, events: DataFrame) -> DataFrame:
+    """The stored ratings of the batch's users: all that a batch reads of the table. Filtered before
+    any window, and by Spark below the joins that make the ratings."""
+    return ratings.join(events.select("userId").distinct(), "userId", "left_semi")
+
+
 # Partners of a product are read in bands of this many ranks.
 RANK_BAND = 32
 
@@ -155,6 +161,15 @@ def recommend_batch_flat(events: DataFrame, queue: DataFrame, rated: DataFrame,
                     "wsum", "n", "incr", "decr"))
 
 
+def renumbered(flat: DataFrame, score) -> DataFrame:
+    """StreamRecs rows (userId, rank, productId, score) of ``flat`` by another ``score``, in one pass;
+    rows without a product keep their rank."""
+    ranked = rank_within(flat.withColumn("score", score).withColumn("_empty", F.col("productId").isNull()),
+                         ["userId", "_empty"], [F.desc("score"), F.asc("productId")], rank_col="_place")
+    return ranked.select("userId", F.when(F.col("_empty"), F.col("rank")).otherwise(F.col("_place")).alias("rank"),
+                         "productId", "score")
+
+
 def recommend_batch(events: DataFrame, queue: DataFrame, rated: DataFrame, sims: DataFrame,
                     threshold: float = S.SIMILARITY_THRESHOLD, penalty: str = "as_written",
                     pushed: bool = False) -> DataFrame:

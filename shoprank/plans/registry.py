@@ -219,10 +219,10 @@ def q_ingest_ratings(spark, sf):
 # ------------------------------------------------------------------ online re-ranking
 
 def _online_inputs(spark, sf):
-    # as in production, ratings are a stored table that the per-batch plan reads several
-    # times: materialise it once
-    r = materialise(td.ratings(spark, sf), "ratings")
-    events = _events(spark, sf)
+    # the per-batch plan reads the events, and the ratings of their users, several times:
+    # materialise them once
+    events = materialise(_events(spark, sf), "events")
+    r = materialise(online.batch_ratings(td.ratings(spark, sf), events), "ratings")
     # of the similarity table (content pairs with scores at 6 decimals) the batch reads the first
     # partners of the events' products, and the scores of its candidates with recent products
     vectors = content.collapsed(content.tf_idf(td.products(spark, sf)))
@@ -268,11 +268,7 @@ def q_stream_scores(spark, sf):
 def _stream_recs(spark, sf, penalty):
     events, queue, rated, sims, scores = _online_inputs(spark, sf)
     flat = online.recommend_batch_flat(events, queue, rated, sims, penalty=penalty, scores=scores)
-    rounded = flat.withColumn("score", online.priority(r6("wsum"), "n", "incr", "decr", penalty))
-    scored = topk.rank_within(rounded.where(F.col("productId").isNotNull()).drop("rank"), "userId",
-                              [F.desc("score"), F.asc("productId")])
-    empty = rounded.where(F.col("productId").isNull()).select("userId", "rank", "productId", "score")
-    return scored.select("userId", "rank", "productId", "score").unionByName(empty)
+    return online.renumbered(flat, online.priority(r6("wsum"), "n", "incr", "decr", penalty))
 
 
 @query("stream_recs")

@@ -76,3 +76,24 @@ def test_candidates_deep_in_a_partner_list(spark):
     assert got == [150 + i for i in range(20)]
     ranked = online.rank_partners(sims)
     assert [r.candidate for r in online.candidates(last, ranked, rated).orderBy("rank").collect()] == got
+
+
+def test_a_batch_reads_the_ratings_of_its_users_only(spark):
+    ratings = spark.createDataFrame([(u, p, 3.0, 10 * u + p) for u in (1, 2, None) for p in (1, 2, 2)],
+                                    "userId int, productId int, score double, timestamp bigint")
+    events = spark.createDataFrame([(1, 9, 5.0, 99, 1), (1, 8, 5.0, 99, 2), (None, 8, 5.0, 99, 3)], EV)
+    mine = online.batch_ratings(ratings, events)
+    assert sorted(r.productId for r in mine.collect()) == [1, 2, 2] and {r.userId for r in mine.collect()} == {1}
+    queue = maintenance.recent_from_ratings
+    assert (sorted(map(str, online.recent_ratings(queue(mine), events).collect()))
+            == sorted(map(str, online.recent_ratings(queue(ratings), events).collect())))
+
+
+def test_renumbered_keeps_users_without_a_product(spark):
+    flat = spark.createDataFrame([(1, 1, 5, 0.9), (1, 2, 4, 0.1), (1, 3, 3, 0.9), (2, None, None, None), (None, None, None, None)],
+                                 "userId int, rank int, productId int, old double")
+    got = online.renumbered(flat, F.col("old"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, 1, 3, 0.9), (1, 2, 5, 0.9), (1, 3, 4, 0.1), (2, None, None, None), (None, None, None, None)], key=str)
+    scans = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in scans
