@@ -79,7 +79,7 @@ def test_candidates_deep_in_a_partner_list(spark):
 
 
 def test_a_batch_reads_the_ratings_of_its_users_only(spark):
-    ratings = spark.createDataFrame([(u, p, 3.0, 10 * u + p) for u in (1, 2, None) for p in (1, 2, 2)],
+    ratings = spark.createDataFrame([(u, p, 3.0, 10 + p) for u in (1, 2, None) for p in (1, 2, 2)],
                                     "userId int, productId int, score double, timestamp bigint")
     events = spark.createDataFrame([(1, 9, 5.0, 99, 1), (1, 8, 5.0, 99, 2), (None, 8, 5.0, 99, 3)], EV)
     mine = online.batch_ratings(ratings, events)
