@@ -13,7 +13,8 @@ The rest is split by size:
   size class; what that links is merged, and then only pairs of sets that still lie in
   different components are listed and counted, so a group of near copies costs its
   members, not their pairs. Of these pairs, the distances to the components' centres rule
-  out most (triangle inequality of the Jaccard distance).
+  out most (triangle inequality of the Jaccard distance). Pairs with a large component are
+  searched by what the sets have or lack against its core (``_delta_pairs``).
 
 The boundary is the size up to which all subsets cost less than the scans of the same
 sets' lists, from counts over the whole input.
@@ -42,6 +43,12 @@ from .shingles import chunks, mix, shingle_sets
 #: Largest size for which subsets are ever considered; the cost decides below it.
 LARGEST_LIGHT = 16
 
+#: Members up to which all pairs with a component are listed; pairs with larger ones are searched
+#: by their differences from the component's core.
+FEW = 16
+#: Members that a core is counted over; classes of cost into which members are dealt.
+CORE_SETS, COST_CLASSES = 32, 16
+
 PACKED = "bucket int, keys binary, counts binary, hashes binary"
 FOUND = "doc_id long, key long, n int, hashes binary, dfs binary"
 
@@ -212,6 +219,76 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         "far", 1 - F.col("common") / (F.col("n_u") + F.col("n_v") - F.col("common"))).drop("n_u", "n_v", "common")
 
 
+def _cores(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(lb, core): the shingles that most of a component's members have, counted over about
+    CORE_SETS of them. Any core gives the same links; a common one gives few differences."""
+    sizes = members.groupBy("lb").agg(F.count("*").alias("members"))
+    some = members.join(sizes, "lb").where(F.pmod(F.xxhash64("v"), "members") < CORE_SETS).select("lb", F.col("v").alias("key"))
+    counted = some.groupBy("lb").agg(F.count("*").alias("taken"))
+    toks = some.join(sets, "key").select("lb", F.explode("toks").alias("tok")).groupBy("lb", "tok").agg(F.count("*").alias("has"))
+    return (toks.join(counted, "lb").where(F.col("has") * 2 > F.col("taken"))
+            .groupBy("lb").agg(F.collect_list("tok").alias("core")))
+
+
+def _deltas(rows: DataFrame, end: str, cores: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (lb, ``end``, n, ...) with ``delta``, the shingles that only one of the set and the
+    component's core has, and ``cost``: p * n + (100 + p) * (shingles of the core that the set lacks)."""
+    toks = sets.select(F.col("key").alias(end), "toks")
+    lacks = F.array_except("core", "toks")
+    return (rows.join(cores, "lb", "left").withColumn("core", F.coalesce("core", F.array().cast("array<bigint>"))).join(toks, end)
+            .withColumn("delta", F.concat(F.array_except("toks", "core"), lacks))
+            .withColumn(f"cost_{end}", percent * F.col(f"n_{end}") + (100 + percent) * F.size(lacks))
+            .withColumn("whole", (100 + percent) * F.size("core")).drop("toks", "core"))
+
+
+def _delta_pairs(firsts: DataFrame, seconds: DataFrame, sets: DataFrame, percent: int, possible) -> DataFrame:
+    """(u, v) of sets u (``firsts``: lb, u, ...) and members v (``seconds``: lb, v, ...) of a large
+    component lb: all that can link, or for a u that surely links with lb, one that does.
+
+    With K the core, R the shingles of K that a set lacks and D the symmetric difference of the
+    set and K, the intersection of u and v is |K| - |R(u)| - |R(v)| + |D(u) & D(v)|. So they link
+    when (100 + p) * |D(u) & D(v)| >= cost(u) + cost(v) - (100 + p) * |K|. Near copies have
+    nearly all shingles in common, but few of their differences, so this overlap is searched by
+    prefixes of D, the rarest differences first; members are dealt into classes of about
+    equal cost, so that a prefix is as short as their costs allow."""
+    q = 100 + percent
+    cores = materialise(_cores(seconds, sets), "jaccard-cores")
+    v = materialise(_deltas(seconds, "v", cores, sets, percent), "jaccard-deltas")
+    spans = v.groupBy("lb").agg(F.min(F.struct("cost_v", "v")).alias("cheapest"), F.max("cost_v").alias("most_cost"))
+    spans = spans.select("lb", F.col("cheapest.cost_v").alias("least_cost"), F.col("cheapest.v").alias("v"),
+                         F.greatest(F.lit(q), F.ceil((F.col("most_cost") - F.col("cheapest.cost_v") + 1) / COST_CLASSES)).alias("span"))
+    u = materialise(_deltas(firsts, "u", cores, sets, percent).join(spans, "lb"), "jaccard-deltas")
+    sure = u.where(F.col("cost_u") + F.col("least_cost") <= F.col("whole")).select("u", "v")
+    u = u.where(F.col("cost_u") + F.col("least_cost") > F.col("whole")).drop("v", "least_cost", "span")
+    counts = materialise(v.select("lb", F.explode("delta").alias("tok")).groupBy("lb", "tok").agg(F.count("*").alias("df")),
+                         "jaccard-differences")
+
+    def ordered(rows: DataFrame, end: str) -> DataFrame:
+        """Differences that some member has, from the rarest on, in the place of ``delta``."""
+        toks = (rows.select("lb", end, F.explode("delta").alias("tok")).join(counts, ["lb", "tok"]).groupBy("lb", end)
+                .agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("delta")))
+        return rows.drop("delta").join(toks, ["lb", end])
+
+    def listed(rows: DataFrame, end: str, least) -> DataFrame:
+        """A row for each difference of a prefix that an overlap worth ``least`` / q must meet, and
+        ``left``: q times the number of differences from there on."""
+        places = F.size("delta") - F.greatest(F.lit(1), F.ceil(least / q)).cast("int") + 1
+        rows = rows.withColumn("places", places).where("places > 0")
+        kept = [c for c in rows.columns if c not in ("delta", "places")]
+        return (rows.select(*kept, F.size("delta").alias("size"), F.posexplode(F.slice("delta", F.lit(1), F.col("places"))).alias("at", "d"))
+                .select(*kept, F.col("d.tok").alias("tok"), (q * (F.col("size") - F.col("at"))).alias(f"left_{end}")))
+
+    v = v.join(spans.drop("v"), "lb").withColumn("class", F.floor((F.col("cost_v") - F.col("least_cost")) / F.col("span"))).drop("span", "least_cost")
+    classes = v.groupBy("lb", "class").agg(F.min("cost_v").alias("class_cost"))
+    closest = u.groupBy("lb").agg(F.min("cost_u").alias("u_cost"))
+    seconds = listed(ordered(v, "v").join(closest, "lb"), "v", F.col("u_cost") + F.col("cost_v") - F.col("whole")).drop("whole", "u_cost")
+    firsts = listed(ordered(u, "u").join(classes, "lb"), "u", F.col("cost_u") + F.col("class_cost") - F.col("whole")).drop("class_cost")
+    lacking = F.col("cost_u") + F.col("cost_v") - F.col("whole")
+    met = (firsts.join(seconds, ["lb", "class", "tok"])
+           .where((lacking <= F.col("left_u")) & (lacking <= F.col("left_v")) & possible()))
+    return met.select("u", "v").unionByName(sure)
+
+
 def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataFrame:
     """Links that involve a set beyond the boundary, as far as components need them."""
     share = F.ceil(F.col("n") * percent / 100).cast("int")
@@ -275,13 +352,21 @@ def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataF
     cross = (side(near, "a", "u").join(side(near, "b", "v"), "hub")
              .where(F.struct("size_u", "la") < F.struct("size_v", "lb"))
              .where((F.col("n_u") <= F.col("most_v")) & (F.col("n_v") <= F.col("most_u")))
-             .select("la", "lb", "u", "v", (F.col("d_u") + F.col("d_v")).alias("radii")).distinct())
+             .select("la", "lb", "u", "v", "size_v", "d_v", (F.col("d_u") + F.col("d_v")).alias("radii")).distinct())
     apart = _distances(materialise(cross, "jaccard-cross"), sets).where(F.col("far") - F.col("radii") <= limit)
-    apart = materialise(apart.select("la", "lb", "far"), "jaccard-apart")
+    apart = materialise(apart.select("la", "lb", "far", "size_v", F.col("d_v").alias("radius")), "jaccard-apart")
     own = members.drop("centre")
-    pairs = (apart.join(side(own, "a", "u"), "la").join(side(own, "b", "v"), "lb")
-             .where(fits("u", "v") & (F.col("far") - F.col("d_u") - F.col("d_v") <= limit)).select("u", "v").distinct())
-    return links.unionByName(_verified(pairs, sets, percent))
+    firsts = apart.join(side(own, "a", "u"), "la").where(F.col("far") - F.col("d_u") - F.col("radius") <= limit)
+
+    def possible():
+        return fits("u", "v") & (F.col("far") - F.col("d_u") - F.col("d_v") <= limit)
+
+    pairs = firsts.where(F.col("size_v") <= FEW).join(side(own, "b", "v"), "lb").where(possible()).select("u", "v")
+    large = apart.where(F.col("size_v") > FEW).select(F.col("lb").alias("label")).distinct()
+    if not large.isEmpty():
+        pairs = pairs.unionByName(_delta_pairs(
+            firsts.where(F.col("size_v") > FEW), side(own.join(large, "label", "left_semi"), "b", "v"), sets, percent, possible))
+    return links.unionByName(_verified(pairs.distinct(), sets, percent))
 
 
 def _boundary(sets: DataFrame, percent: int) -> int:
