@@ -241,9 +241,12 @@ def _deltas(rows: DataFrame, end: str, cores: DataFrame, sets: DataFrame, percen
             .withColumn("whole", (100 + percent) * F.size("core")).drop("toks", "core"))
 
 
-def _delta_pairs(firsts: DataFrame, seconds: DataFrame, sets: DataFrame, percent: int, possible) -> DataFrame:
+def _delta_pairs(firsts: DataFrame, seconds: DataFrame, sets: DataFrame, percent: int, possible,
+                 linked: bool = True) -> DataFrame:
     """(u, v) of sets u (``firsts``: lb, u, ...) and members v (``seconds``: lb, v, ...) of a large
-    component lb: all that can link, or for a u that surely links with lb, one that does.
+    component lb: all that can link, or for a u that surely links with lb, one that does. With
+    ``linked`` false lb is any group, and both sides are its members: all pairs that can link, but for
+    those that a star around the cheapest member carries.
 
     With K the core, R the shingles of K that a set lacks and D the symmetric difference of the
     set and K, the intersection of u and v is |K| - |R(u)| - |R(v)| + |D(u) & D(v)|. So they link
@@ -258,8 +261,10 @@ def _delta_pairs(firsts: DataFrame, seconds: DataFrame, sets: DataFrame, percent
     spans = spans.select("lb", F.col("cheapest.cost_v").alias("least_cost"), F.col("cheapest.v").alias("v"),
                          F.greatest(F.lit(q), F.ceil((F.col("most_cost") - F.col("cheapest.cost_v") + 1) / COST_CLASSES)).alias("span"))
     u = materialise(_deltas(firsts, "u", cores, sets, percent).join(spans, "lb"), "jaccard-deltas")
-    sure = u.where(F.col("cost_u") + F.col("least_cost") <= F.col("whole")).select("u", "v")
-    u = u.where(F.col("cost_u") + F.col("least_cost") > F.col("whole")).drop("v", "least_cost", "span")
+    sure = u.where(F.col("cost_u") + F.col("least_cost") <= F.col("whole")).where("u != v").select("u", "v")
+    if linked:
+        u = u.where(F.col("cost_u") + F.col("least_cost") > F.col("whole"))
+    u = u.drop("v", "least_cost", "span")
     counts = materialise(v.select("lb", F.explode("delta").alias("tok")).groupBy("lb", "tok").agg(F.count("*").alias("df")),
                          "jaccard-differences")
 
@@ -344,6 +349,10 @@ def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataF
     # are paired once, not once for each shingle they share.
     mixed = rows.groupBy("tok").agg(F.min("label").alias("hub"), F.max("label").alias("b")).where("hub < b").select("tok", "hub")
     near = rows.select("tok", "label").join(mixed, "tok").select("hub", "label").distinct().join(whole, "label")
+    # Sets without a link yet that meet at one hub are searched by differences, too, where they are many.
+    many = near.where("size = 1").groupBy("hub").agg(F.count("*").alias("lone")).where(F.col("lone") > FEW)
+    near = near.join(many, "hub", "left").withColumn("lone", F.col("lone").isNotNull() & (F.col("size") == 1))
+    near = materialise(near, "jaccard-near")
 
     def side(frame: DataFrame, name: str, end: str) -> DataFrame:
         return frame.select(*[F.col(c).alias({"label": f"l{name}", "key": end, "centre": end}.get(c, f"{c}_{end}"))
@@ -351,7 +360,7 @@ def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataF
 
     cross = (side(near, "a", "u").join(side(near, "b", "v"), "hub")
              .where(F.struct("size_u", "la") < F.struct("size_v", "lb"))
-             .where((F.col("n_u") <= F.col("most_v")) & (F.col("n_v") <= F.col("most_u")))
+             .where((F.col("n_u") <= F.col("most_v")) & (F.col("n_v") <= F.col("most_u")) & ~(F.col("lone_u") & F.col("lone_v")))
              .select("la", "lb", "u", "v", "size_v", "d_v", (F.col("d_u") + F.col("d_v")).alias("radii")).distinct())
     apart = _distances(materialise(cross, "jaccard-cross"), sets).where(F.col("far") - F.col("radii") <= limit)
     apart = materialise(apart.select("la", "lb", "far", "size_v", F.col("d_v").alias("radius")), "jaccard-apart")
@@ -366,6 +375,11 @@ def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataF
     if not large.isEmpty():
         pairs = pairs.unionByName(_delta_pairs(
             firsts.where(F.col("size_v") > FEW), side(own.join(large, "label", "left_semi"), "b", "v"), sets, percent, possible))
+    lone = near.where("lone").select(F.col("hub").alias("lb"), "label", "n", "most")
+    if not lone.isEmpty():
+        ends = [lone.select("lb", F.col("label").alias(end), F.col("n").alias(f"n_{end}"), F.col("most").alias(f"most_{end}"))
+                for end in ("u", "v")]
+        pairs = pairs.unionByName(_delta_pairs(*ends, sets, percent, lambda: fits("u", "v") & (F.col("u") < F.col("v")), linked=False))
     return links.unionByName(_verified(pairs.distinct(), sets, percent))
 
 
