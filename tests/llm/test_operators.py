@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from shoprank.llm import chat, warc
+from shoprank.llm import chat, suffix_dedup, warc
 from shoprank.llm.decontaminate import leaks
 from shoprank.llm.html_cut import extract, main_text, min_cut
 from shoprank.llm.jaccard import jaccard_components
@@ -70,6 +70,40 @@ def test_repeats_equal_brute_force(docs, keep):
     assert got == wanted
 
 
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_runs_travel_packed_by_text(spark, monkeypatch, keep):
+    """A row, or a Python object, for each of the many runs of a text filled the executors."""
+    tables, materialise = {}, suffix_dedup.materialise
+
+    def written(df, name="tmp"):
+        tables[name] = materialise(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(suffix_dedup, "materialise", written)
+    text = "".join(chr(97 + (k * k * 7 + k * 13) % 101 % 26) + " " * (k % 7 == 0) for k in range(6000))
+    unlike = " ".join(hashlib.sha256(str(k).encode()).hexdigest() for k in range(100))
+    rows = [(1, unlike + text), (2, unlike), (3, "x" + unlike[:3000]), (4, text[5:5000])]
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 60, keep)
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in out.collect()}
+    places = defaultdict(list)
+    for k, (i, t) in enumerate(rows):
+        for s in range(len(t) - 59):
+            places[t[s:s + 60]].append((i, s))
+    gone = defaultdict(set)
+    for found in places.values():
+        for i, s in (found if keep == "none" and len(found) > 1 else found[1:]):
+            gone[i].update(range(s, s + 60))
+    assert got == {i: (len(gone[i]), sum(j - 1 not in gone[i] for j in gone[i]), "".join(c for j, c in enumerate(t) if j not in gone[i]).encode())
+                   for i, t in rows}
+    buckets = max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert {*tables} == {"suffix-runs", "suffix-windows"}
+    assert all(t.count() == t.select("key", "whole", "runs").distinct().count() <= 2 * buckets * len(rows) for t in tables.values())
+    runs = tables["suffix-runs"].toPandas()
+    assert sum(map(len, runs["runs"])) // 8 > 2 * len(runs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not any("MapInPandas" in a and "MapInPandas" in b for a, b in zip(plan, plan[1:]))
+
+
 def test_quality_counts_equal_brute_force(docs):
     got = Counter(map(tuple, quality_report(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()))
