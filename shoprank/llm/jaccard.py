@@ -258,8 +258,9 @@ def _delta_pairs(firsts: DataFrame, seconds: DataFrame, sets: DataFrame, percent
     cores = materialise(_cores(seconds, sets), "jaccard-cores")
     v = materialise(_deltas(seconds, "v", cores, sets, percent), "jaccard-deltas")
     spans = v.groupBy("lb").agg(F.min(F.struct("cost_v", "v")).alias("cheapest"), F.max("cost_v").alias("most_cost"))
-    spans = spans.select("lb", F.col("cheapest.cost_v").alias("least_cost"), F.col("cheapest.v").alias("v"),
-                         F.greatest(F.lit(q), F.ceil((F.col("most_cost") - F.col("cheapest.cost_v") + 1) / COST_CLASSES)).alias("span"))
+    spans = materialise(spans.select(
+        "lb", F.col("cheapest.cost_v").alias("least_cost"), F.col("cheapest.v").alias("v"),
+        F.greatest(F.lit(q), F.ceil((F.col("most_cost") - F.col("cheapest.cost_v") + 1) / COST_CLASSES)).alias("span")), "jaccard-spans")
     u = materialise(_deltas(firsts, "u", cores, sets, percent).join(spans, "lb"), "jaccard-deltas")
     sure = u.where(F.col("cost_u") + F.col("least_cost") <= F.col("whole")).where("u != v").select("u", "v")
     if linked:
@@ -272,7 +273,7 @@ def _delta_pairs(firsts: DataFrame, seconds: DataFrame, sets: DataFrame, percent
         """Differences that some member has, from the rarest on, in the place of ``delta``."""
         toks = (rows.select("lb", end, F.explode("delta").alias("tok")).join(counts, ["lb", "tok"]).groupBy("lb", end)
                 .agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("delta")))
-        return rows.drop("delta").join(toks, ["lb", end])
+        return materialise(rows.drop("delta").join(toks, ["lb", end]), "jaccard-ordered")
 
     def listed(rows: DataFrame, end: str, least) -> DataFrame:
         """A row for each difference of a prefix that an overlap worth ``least`` / q must meet, and
@@ -291,7 +292,7 @@ def _delta_pairs(firsts: DataFrame, seconds: DataFrame, sets: DataFrame, percent
     lacking = F.col("cost_u") + F.col("cost_v") - F.col("whole")
     met = (firsts.join(seconds, ["lb", "class", "tok"])
            .where((lacking <= F.col("left_u")) & (lacking <= F.col("left_v")) & possible()))
-    return met.select("u", "v").unionByName(sure)
+    return materialise(met.select("u", "v").unionByName(sure), "jaccard-pairs")
 
 
 def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataFrame:
@@ -365,11 +366,13 @@ def _heavy_links(sets: DataFrame, light_links: DataFrame, percent: int) -> DataF
     apart = _distances(materialise(cross, "jaccard-cross"), sets).where(F.col("far") - F.col("radii") <= limit)
     apart = materialise(apart.select("la", "lb", "far", "size_v", F.col("d_v").alias("radius")), "jaccard-apart")
     own = members.drop("centre")
-    firsts = apart.join(side(own, "a", "u"), "la").where(F.col("far") - F.col("d_u") - F.col("radius") <= limit)
+    firsts = materialise(apart.join(side(own, "a", "u"), "la").where(F.col("far") - F.col("d_u") - F.col("radius") <= limit),
+                         "jaccard-firsts")
 
     def possible():
         return fits("u", "v") & (F.col("far") - F.col("d_u") - F.col("d_v") <= limit)
 
+    # Each search is written by itself: all in one query are a plan of hundreds of nodes, planned anew after every stage.
     pairs = firsts.where(F.col("size_v") <= FEW).join(side(own, "b", "v"), "lb").where(possible()).select("u", "v")
     large = apart.where(F.col("size_v") > FEW).select(F.col("lb").alias("label")).distinct()
     if not large.isEmpty():

@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from shoprank.llm import jaccard
+from shoprank.llm import common, jaccard
 
 PERCENT = 75
 
@@ -82,3 +82,37 @@ def test_texts_below_the_threshold_are_not_paired_with_all_near_copies(spark, mo
         groups[label] += 1
     alone, largest = sum(n == 1 for n in groups.values()), max(groups.values())
     assert alone >= 20 and pairs[-1] < alone * largest / 5 and centres[0] < 3 * alone
+
+
+def test_no_written_plan_holds_several_searches(spark, monkeypatch):
+    """The driver holds every plan, and one anew after each of its stages."""
+    sizes, materialise = {}, jaccard.materialise
+
+    def written(df, name="tmp"):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes[name] = max(sizes.get(name, 0), plan.count("Join "))
+        return materialise(df, name)
+
+    for module in (common, jaccard):
+        monkeypatch.setattr(module, "materialise", written)
+    rng = random.Random(4)
+    texts = near_copies(rng, "a", 40, 20) + near_copies(rng, "b", 5, 4)
+    texts += [edited([f"e{k}" for k in range(150)], sorted(rng.sample(range(5, 145, 5), 7)), f"l{k}x") for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs, PERCENT).collect()}
+    assert found == components(texts)
+    assert "jaccard-cores" in sizes and max(sizes.values()) <= 12, sizes
+
+
+def test_components_work_their_edges_out_once(spark, monkeypatch):
+    plans, materialise = {}, common.materialise
+
+    def written(df, name="tmp"):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return materialise(df, name)
+
+    monkeypatch.setattr(common, "materialise", written)
+    edges = spark.createDataFrame([(5, 2), (2, 9), (7, 8), (5, 2)], "u long, v long").mapInPandas(lambda frames: frames, "u long, v long")
+    labels = {r["node"]: r["label"] for r in common.connected_components(edges).collect()}
+    assert labels == {2: 2, 5: 2, 9: 2, 7: 7, 8: 7}
+    assert plans["cc-edges"].count("MapInPandas") == 1
