@@ -16,7 +16,7 @@ from shoprank import schemas
 from shoprank.functions.columns import normalise_score, rating_log_line, recs_to_map, username_hash
 from shoprank.operators import (als, content, cooccurrence, maintenance, online, serving, similarity,
                                 stats, topk)
-from shoprank.session import materialise
+from shoprank.session import materialise, sized_by_rows
 from shoprank.sources import testdata as td
 from shoprank.streaming import logfilter
 
@@ -219,6 +219,8 @@ def q_ingest_ratings(spark, sf):
 # ------------------------------------------------------------------ online re-ranking
 
 def _online_inputs(spark, sf):
+    # candidates and recent products of a batch compress well, so their files say little about their rows
+    sized_by_rows(spark)
     # the per-batch plan reads the events, and the ratings of their users, several times:
     # materialise them once
     events = materialise(_events(spark, sf), "events")

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from shoprank.operators import maintenance, online
+from shoprank.session import apply_sql_conf, materialise, sized_by_rows
 
 EV = "userId int, productId int, score double, timestamp bigint, seq bigint"
 Q = "userId int, pos int, productId int, score double"
@@ -97,3 +98,23 @@ def test_renumbered_keeps_users_without_a_product(spark):
         [(1, 1, 3, 0.9), (1, 2, 5, 0.9), (1, 3, 4, 0.1), (2, None, None, None), (None, None, None, None)], key=str)
     scans = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in scans
+
+
+def test_tables_small_on_disk_alone_are_not_broadcast(spark):
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+        apply_sql_conf(spark)
+        big = materialise(spark.range(0, 1_000_000, 1, 4).select(F.floor(F.col("id") / 1000).alias("u"), F.lit(1).alias("c")), "big")
+        few = materialise(spark.range(0, 100, 1, 1).select(F.col("id").alias("u")), "few")
+
+        def plan():
+            return big.join(few, "u").join(big.select("u", F.col("c").alias("d")), "u")._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan()
+        sized_by_rows(spark)
+        assert plan().count("SortMergeJoin") == 1 and plan().count("BroadcastHashJoin") == 1  # few rows still are
+        apply_sql_conf(spark)
+        assert "SortMergeJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        apply_sql_conf(spark)
